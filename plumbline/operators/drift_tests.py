@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.scalars import ratio
 from plumbline.operators.contract import Contract
 from plumbline.operators.drift import category_shares, side_counts
-from plumbline.shared import literal_rows, melt
+from plumbline.shared import literal_rows, melt, tall
 
 # Published defaults of dataset drift checks; every one is an argument below.
 SMALL_SAMPLE = 1000
@@ -33,34 +33,38 @@ BUCKET_VALUES = 500_000
 MAX_BUCKETS = 2_000
 
 
+# Below this estimate the number of distinct values is counted exactly.
+COUNTED_EXACTLY = 50
+
+
 def distinct_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int]]:
-    """Rows of the reference, and about how many distinct values each column has in both."""
+    """Rows of the reference, and how many distinct values each column has in both samples:
+    exact where they are few, an estimate otherwise."""
     stacked = (ref.select(*cols, F.lit(1).alias("__ref"))
                .unionAll(cur.select(*cols, F.lit(0).alias("__ref"))))
     row = stacked.agg(
         F.sum("__ref").alias("rows"),
-        *[F.approx_count_distinct(col, 0.02).alias(f"d{i}") for i, col in enumerate(cols)]).first()
-    return row["rows"] or 0, {col: row[f"d{i}"] for i, col in enumerate(cols)}
-
-
-def _splits(
-    ref: DataFrame, cur: DataFrame, cols: Sequence[str], bucket_values: int,
-    distinct: Mapping[str, int],
-) -> dict[str, list[float]]:
-    """Bucket edges per column: sketched quantiles, as many as its distinct values need."""
-    stacked = ref.unionAll(cur)
-    wanted = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS) for col in cols}
-    split_cols = [col for col in cols if wanted[col] > 1]
+        *[F.approx_count_distinct(col).alias(f"d{i}") for i, col in enumerate(cols)]).first()
+    distinct = {col: row[f"d{i}"] for i, col in enumerate(cols)}
+    few = [col for col in cols if distinct[col] <= COUNTED_EXACTLY]
+    if few:
+        values = tall(stacked, few).filter(F.col("value").isNotNull()).distinct()
+        exact = values.groupBy("column_name").count().collect()
+        distinct.update({col: 0 for col in few})
+        distinct.update({r["column_name"]: r["count"] for r in exact})
+    return row["rows"] or 0, distinct
+
+
+def _bucket_edges(stacked: DataFrame, buckets: Mapping[str, int]) -> dict[str, list[float]]:
+    """Bucket edges per column: sketched quantiles, as many as the column needs."""
+    split = [col for col, number in buckets.items() if number > 1]
+    sketch = stacked.agg(*[
+        F.percentile_approx(col, [b / buckets[col] for b in range(1, buckets[col])], 10 * buckets[col])
+        .alias(f"q{i}") for i, col in enumerate(split)]).first()
     # The cutter wants three edges at least.
-    edges = {col: [-math.inf, 0.0, math.inf] for col in cols}
-    if split_cols:
-        sketch = stacked.agg(*[
-            F.percentile_approx(F.col(col).cast("double"),
-                                [b / wanted[col] for b in range(1, wanted[col])],
-                                10 * wanted[col]).alias(f"q{i}")
-            for i, col in enumerate(split_cols)]).first()
-        for i, col in enumerate(split_cols):
-            edges[col] = [-math.inf, *sorted(set(sketch[f"q{i}"])), math.inf]
+    edges = {col: [-math.inf, 0.0, math.inf] for col in buckets}
+    for i, col in enumerate(split):
+        edges[col] = [-math.inf, *sorted(set(sketch[f"q{i}"])), math.inf]
     return edges
 
 
@@ -68,13 +72,34 @@ def running_counts(
     ref: DataFrame, cur: DataFrame, cols: Sequence[str], bucket_values: int = BUCKET_VALUES,
     distinct: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """``(column_name, value, cum_ref, cum_cur, next_value)`` at each distinct value."""
-    cols = list(cols)
+    """``(column_name, value, cum_ref, cum_cur, n_ref, n_cur, next_value)`` at each distinct
+    value: counts up to it, sample sizes, and the distinct value after it."""
     as_double = [F.col(col).cast("double").alias(col) for col in cols]
     ref, cur = ref.select(*as_double), cur.select(*as_double)
     if distinct is None:
-        _, distinct = distinct_counts(ref, cur, cols)
-    edges = _splits(ref, cur, cols, bucket_values, distinct)
+        stacked = ref.unionAll(cur)
+        distinct = stacked.agg(*[F.approx_count_distinct(col).alias(col) for col in cols]).first().asDict()
+    buckets = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS) for col in cols}
+    if max(buckets.values()) <= 1:
+        return _running_counts_whole(ref, cur, cols)
+    return _running_counts_bucketed(ref, cur, _bucket_edges(ref.unionAll(cur), buckets))
+
+
+def _running_counts_whole(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """For columns whose distinct values fit a bucket each: one window per column."""
+    counted = side_counts(ref, cur, cols, "double").filter(F.col("value").isNotNull())
+    whole = Window.partitionBy("column_name")
+    ordered = whole.orderBy("value")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    return counted.select(
+        "column_name", "value",
+        F.sum("n_ref").over(so_far).alias("cum_ref"), F.sum("n_cur").over(so_far).alias("cum_cur"),
+        F.sum("n_ref").over(whole).alias("n_ref"), F.sum("n_cur").over(whole).alias("n_cur"),
+        F.lead("value").over(ordered).alias("next_value"))
+
+
+def _running_counts_bucketed(ref: DataFrame, cur: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
+    cols = list(edges)
     bucketed = [f"__bucket_{i}" for i in range(len(cols))]
     cutter = Bucketizer(inputCols=cols, outputCols=bucketed,
                         splitsArray=[edges[col] for col in cols], handleInvalid="keep")
@@ -90,12 +115,14 @@ def running_counts(
     # At most MAX_BUCKETS rows per column: small enough to order in one task and to broadcast.
     totals = counted.groupBy("column_name", "bucket").agg(
         F.sum("n_ref").alias("b_ref"), F.sum("n_cur").alias("b_cur"), F.min("value").alias("b_min"))
-    by_bucket = Window.partitionBy("column_name").orderBy("bucket")
+    whole = Window.partitionBy("column_name")
+    by_bucket = whole.orderBy("bucket")
     before = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         "column_name", "bucket",
         F.coalesce(F.sum("b_ref").over(before), F.lit(0)).alias("s_ref"),
         F.coalesce(F.sum("b_cur").over(before), F.lit(0)).alias("s_cur"),
+        F.sum("b_ref").over(whole).alias("t_ref"), F.sum("b_cur").over(whole).alias("t_cur"),
         F.lead("b_min").over(by_bucket).alias("next_min"))
     inside = Window.partitionBy("column_name", "bucket").orderBy("value")
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -103,6 +130,7 @@ def running_counts(
         "column_name", "value",
         (F.col("s_ref") + F.sum("n_ref").over(so_far)).alias("cum_ref"),
         (F.col("s_cur") + F.sum("n_cur").over(so_far)).alias("cum_cur"),
+        F.col("t_ref").alias("n_ref"), F.col("t_cur").alias("n_cur"),
         F.coalesce(F.lead("value").over(inside), F.col("next_min")).alias("next_value"))
 
 
@@ -111,15 +139,10 @@ def _curve_scores(
     distinct: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Largest gap and area between the two distribution functions, with sample sizes."""
-    steps = running_counts(ref, cur, cols, bucket_values, distinct)
-    sizes = ref.agg(*[F.count(col).alias(f"r{i}") for i, col in enumerate(cols)]).join(
-        F.broadcast(cur.agg(*[F.count(col).alias(f"c{i}") for i, col in enumerate(cols)])), F.lit(True))
-    sizes = melt(sizes, ["column_name", "n_ref", "n_cur"],
-                 [(col, F.col(f"r{i}"), F.col(f"c{i}")) for i, col in enumerate(cols)])
     gap = F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
-    return (steps.join(F.broadcast(sizes), "column_name").groupBy("column_name", "n_ref", "n_cur")
-            .agg(F.max(gap).alias("ks"),
-                 F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("area")))
+    return running_counts(ref, cur, cols, bucket_values, distinct).groupBy("column_name").agg(
+        F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max(gap).alias("ks"),
+        F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("area"))
 
 
 def ks_statistic(
@@ -279,7 +302,9 @@ def dataset_drift(
 
 
 def kolmogorov_sf(statistic: float, n_ref: int, n_cur: int) -> float:
-    """Asymptotic tail probability of the two-sample statistic."""
+    """Asymptotic tail probability of the two-sample statistic; 1 when a sample is empty."""
+    if statistic is None:
+        return 1.0
     z = statistic * math.sqrt(n_ref * n_cur / (n_ref + n_cur))
     if z < 0.2:
         return 1.0

@@ -1,6 +1,8 @@
 """Importing the query modules fills the registry."""
 
-from plumbline.workload import conformance, distributions, profiling  # noqa: F401
+from plumbline.workload import (  # noqa: F401
+    conformance, distributions, modelling, profiling, storage,
+)
 from plumbline.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

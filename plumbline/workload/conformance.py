@@ -119,7 +119,7 @@ def serving_features(spark, sf_dir):
         "id", "risk_score", "children_flag", "smoker_bmi_interaction", "age_category", "bmi_category"))
 
 
-@query(sql("""SELECT id, '$' || format('{:,.2f}', charges) AS money, region AS plain,
+@query(sql("""SELECT id, '$' || format('{:,.2f}', round(charges, 4)) AS money, region AS plain,
   round(ln(1 + charges), 6) AS log_charges, round(charges, 4) AS back,
   CASE WHEN children > 0 THEN 1 ELSE 0 END AS flag,
   round(CASE WHEN children = 0 THEN NULL ELSE age / children::DOUBLE END, 6) AS per_child,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.contract import INSURED
@@ -10,68 +10,67 @@ from plumbline.operators.contract import INSURED
 NAMES = INSURED.names
 
 
+# The columns of the tables in use. Declared, so that no read has to open
+# a file just to learn its schema.
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def insured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean base table: one row per order, charges follow from the features and noise."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    quarter = F.col("c_nationkey") % 4
-    base = orders.join(customer, cust == F.col("c_custkey")).select(
-        key.alias("id"),
-        (F.lit(18) + (cust * 7) % 47).cast("bigint").alias("age"),
-        F.when(key % 2 == 0, "female").otherwise("male").alias("sex"),
-        (F.lit(15.0) + ((key * 37) % 380).cast("double") / F.lit(10.0)).alias("bmi"),
-        (cust % 6).cast("bigint").alias("children"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "yes").otherwise("no").alias("smoker"),
-        F.when(quarter == 0, "northeast").when(quarter == 1, "northwest")
-        .when(quarter == 2, "southeast").otherwise("southwest").alias("region"),
-        (F.col("o_totalprice") / F.lit(50.0)).alias("noise"))
-    surcharge = F.when(F.col("smoker") == "yes", F.lit(700.0) * F.col("bmi")).otherwise(F.lit(0.0))
-    charges = (F.lit(240.0) * F.col("age") + F.lit(300.0) * F.col("bmi")
-               + F.lit(450.0) * F.col("children") + surcharge + F.col("noise"))
-    return base.withColumn("charges", charges).drop("noise")
-
-
-def _every(n: int) -> Column:
-    return F.col("id") % n == 0
+    joined = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    return joined.selectExpr(
+        "o_orderkey AS id",
+        "CAST(18 + (o_custkey * 7) % 47 AS BIGINT) AS age",
+        "IF(o_orderkey % 2 = 0, 'female', 'male') AS sex",
+        "15D + CAST((o_orderkey * 37) % 380 AS DOUBLE) / 10D AS bmi",
+        "CAST(o_custkey % 6 AS BIGINT) AS children",
+        "IF(o_orderpriority = '1-URGENT', 'yes', 'no') AS smoker",
+        "CASE c_nationkey % 4 WHEN 0 THEN 'northeast' WHEN 1 THEN 'northwest' "
+        "WHEN 2 THEN 'southeast' ELSE 'southwest' END AS region",
+        "o_totalprice / 50D AS noise",
+    ).selectExpr(
+        "id", "age", "sex", "bmi", "children", "smoker", "region",
+        "240D * age + 300D * bmi + 450D * children + IF(smoker = 'yes', 700D * bmi, 0D) + noise AS charges")
 
 
 def insured_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nulls, bad ranges, an unknown region and exact copies of some rows."""
-    dirty = insured(spark, sf_dir).withColumns({
-        "age": F.when(_every(97), F.lit(150).cast("bigint")).otherwise(F.col("age")),
-        "bmi": F.when(~_every(50), F.col("bmi")),
-        "children": F.when(~_every(61), F.col("children")),
-        "region": F.when(_every(101), "unknown").otherwise(F.col("region")),
-    })
     # Emitting a copied row twice in place keeps this to one scan.
-    times = F.when(_every(211), 2).otherwise(1)
-    return dirty.withColumn("__copy", F.explode(F.sequence(F.lit(1), times))).drop("__copy")
+    return insured(spark, sf_dir).selectExpr(
+        "id", "IF(id % 97 = 0, 150L, age) AS age", "sex", "IF(id % 50 = 0, NULL, bmi) AS bmi",
+        "IF(id % 61 = 0, NULL, children) AS children", "smoker",
+        "IF(id % 101 = 0, 'unknown', region) AS region", "charges",
+        "explode(sequence(1, IF(id % 211 = 0, 2, 1))) AS copy").drop("copy")
 
 
 def insured_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The current side of a drift check: more smokers and higher charges."""
-    return insured(spark, sf_dir).withColumns({
-        "smoker": F.when(_every(3), "yes").otherwise(F.col("smoker")),
-        "charges": F.col("charges") * F.lit(1.5),
-    })
+    return insured(spark, sf_dir).selectExpr(
+        "id", "age", "sex", "bmi", "children", "IF(id % 3 = 0, 'yes', smoker) AS smoker", "region",
+        "charges * 1.5D AS charges")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form requests as text, some of them empty or unreadable."""
-    return insured(spark, sf_dir).select(
+    return insured(spark, sf_dir).selectExpr(
         "id",
-        F.when(_every(13), "").when(_every(17), "abc").otherwise(F.col("age").cast("string")).alias("age"),
-        "sex",
-        F.when(_every(19), "n/a").otherwise(F.col("bmi").cast("string")).alias("bmi"),
-        F.col("children").cast("string").alias("children"),
-        F.when(_every(23), "maybe").otherwise(F.col("smoker")).alias("smoker"),
-        "region")
+        "CASE WHEN id % 13 = 0 THEN '' WHEN id % 17 = 0 THEN 'abc' ELSE CAST(age AS STRING) END AS age",
+        "sex", "IF(id % 19 = 0, 'n/a', CAST(bmi AS STRING)) AS bmi", "CAST(children AS STRING) AS children",
+        "IF(id % 23 = 0, 'maybe', smoker) AS smoker", "region")
 
 
 def rounded(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
