@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.operators.contract import (
-    INSURED, Contract, Validation, coerce, normalise_nulls, project, validate, validation_rows,
+    INSURED, Contract, Validation, coerce, normalise_nulls, validate, validation_rows,
 )
 from plumbline.operators.drift import basic_drift
 from plumbline.operators.drift_tests import DriftRules, dataset_drift
@@ -96,10 +96,10 @@ def _sample(spark: SparkSession, settings: Settings, side: str) -> DataFrame:
 
 
 def _ingest(spark: SparkSession, settings: Settings) -> None:
-    columns = [settings.key, *settings.contract.names]
     raw = settings.source(spark)
     stored = spark.read.parquet(snapshot(raw, f"{settings.base}/feature_store", settings.run_id))
-    typed = normalise_nulls(coerce(project(stored, columns), settings.contract))
+    # Columns that do not belong stay in, for the checks of the next stage to report.
+    typed = normalise_nulls(coerce(stored.drop("run_id"), settings.contract))
     train, test = train_test(typed, settings.key, settings.test_ratio, settings.seed, settings.exact_split)
     for side, df in (("train", train), ("test", test)):
         df.write.mode("overwrite").parquet(settings.path(side))
@@ -117,8 +117,7 @@ def _analyse(spark: SparkSession, settings: Settings) -> None:
 
 
 def _validate(spark: SparkSession, settings: Settings) -> None:
-    names = settings.contract.names
-    train, test = (_sample(spark, settings, side).select(*names) for side in ("train", "test"))
+    train, test = (_sample(spark, settings, side).drop(settings.key) for side in ("train", "test"))
 
     def drifted(ref: DataFrame, cur: DataFrame) -> bool:
         if settings.drift_method == "basic":

@@ -53,8 +53,11 @@ def snapshot(df: DataFrame, base: str, run_id: str) -> str:
 
 def read_snapshot(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
     """All runs with their ``run_id``, or one run through partition pruning."""
-    # The run id stays text even if it looks like a number.
-    runs = spark.read.parquet(base).withColumn("run_id", F.col("run_id").cast("string"))
+    # The run id is text even where it looks like a number: "01" must not become 1.
+    found = spark.read.parquet(base).schema
+    schema = T.StructType([T.StructField("run_id", T.StringType()) if f.name == "run_id" else f
+                           for f in found.fields])
+    runs = spark.read.schema(schema).parquet(base)
     return runs if run_id is None else runs.filter(F.col("run_id") == run_id)
 
 

@@ -94,16 +94,20 @@ MEANS = """SELECT '{c}' AS column_name, r AS reference_mean, s AS current_mean,
   (SELECT (SELECT avg({c}) FROM {ref}) AS r, (SELECT avg({c}) FROM {cur}) AS s) m"""
 
 
-def mean_drift_sql(ref: str, cur: str, cols: list[str], digits: int = 6) -> str:
+def mean_drift_sql(ref: str, cur: str, cols: list[str]) -> str:
     inner = union_sql(MEANS.replace("{ref}", ref).replace("{cur}", cur), cols)
-    return (f"SELECT column_name, round(reference_mean, {digits}) AS reference_mean, "
-            f"round(current_mean, {digits}) AS current_mean, round(score, {digits}) AS score, "
+    return ("SELECT column_name, round(reference_mean, 3) AS reference_mean, "
+            "round(current_mean, 3) AS current_mean, round(score, 6) AS score, "
             f"coalesce(score > 0.2, false) AS drifted FROM ({inner}) m")
 
 
+def rounded_means(df):
+    return rounded(rounded(df, 3, ["reference_mean", "current_mean"]), 6, ["score"])
+
+
 @query(sql(mean_drift_sql("insured", "insured_shifted", NUMERIC)))
 def mean_drift(spark, sf_dir):
-    return rounded(drift.mean_drift(insured(spark, sf_dir), insured_shifted(spark, sf_dir), NUMERIC))
+    return rounded_means(drift.mean_drift(insured(spark, sf_dir), insured_shifted(spark, sf_dir), NUMERIC))
 
 
 HALVES = """ev AS (SELECT *, ts < (SELECT make_timestamp(CAST((epoch_us(min(ts)) + epoch_us(max(ts))) // 2 AS BIGINT))
@@ -123,7 +127,7 @@ def _event_halves(spark, sf_dir):
 @query(f"WITH {HALVES} " + mean_drift_sql("early", "late", ["value"]))
 def mean_drift_of_time_slices(spark, sf_dir):
     early, late = _event_halves(spark, sf_dir)
-    return rounded(drift.mean_drift(early, late, ["value"]))
+    return rounded_means(drift.mean_drift(early, late, ["value"]))
 
 
 def shares_sql(ref: str, cur: str, cols: list[str]) -> str:

@@ -9,7 +9,7 @@ from plumbline.operators.contract import ALLOWED_VALUES, INSURED, VALUE_RANGES,
 from plumbline.operators.quantiles import percentiles
 from plumbline.operators.split import train_test
 from plumbline.plans.reports import analysis_report, sample_metrics
-from plumbline.workload.fixtures import NAMES, insured, insured_dirty, rounded, sql, table
+from plumbline.workload.fixtures import NAMES, insured, insured_dirty, rounded, rounded_report, sql, table
 from plumbline.workload.registry import query
 
 NUMERIC = list(INSURED.numeric)
@@ -66,25 +66,25 @@ def duplicate_labels(spark, sf_dir):
 
 
 DESCRIBE = """SELECT '{c}' AS column_name, unnest(['count', 'mean', 'std', 'min', '25%', '50%', '75%', 'max']) AS metric,
-  unnest([count({c})::DOUBLE, round(avg({c}), 6), round(stddev_samp({c}), 6), round(min({c}), 6)::DOUBLE,
+  unnest([count({c})::DOUBLE, round(avg({c}), 3), round(stddev_samp({c}), 3), round(min({c}), 6)::DOUBLE,
     round(quantile_cont({c}, 0.25), 6)::DOUBLE, round(quantile_cont({c}, 0.5), 6)::DOUBLE,
     round(quantile_cont({c}, 0.75), 6)::DOUBLE, round(max({c}), 6)::DOUBLE]) AS value FROM {t}"""
 
 
 @query(union_sql(DESCRIBE.replace("{t}", "lineitem"), LINE_NUMBERS))
 def describe_lineitem(spark, sf_dir):
-    return rounded(profile.describe(table(spark, sf_dir, "lineitem"), LINE_NUMBERS), 6)
+    return rounded_report(profile.describe(table(spark, sf_dir, "lineitem"), LINE_NUMBERS))
 
 
 @query(sql(union_sql(DESCRIBE.replace("{t}", "insured_dirty"), NUMERIC)))
 def describe_insured(spark, sf_dir):
-    return rounded(profile.describe(insured_dirty(spark, sf_dir).select(*NUMERIC)), 6)
+    return rounded_report(profile.describe(insured_dirty(spark, sf_dir).select(*NUMERIC)))
 
 
 @query(union_sql(DESCRIBE.replace("{t}", "labels"), ["doc_id", "quality", "toxic"]))
 def describe_numeric_columns(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
-    return rounded(profile.describe(labels, columns_by_type(labels, "numeric")), 6)
+    return rounded_report(profile.describe(labels, columns_by_type(labels, "numeric")))
 
 
 PERCENTILES = """SELECT '{c}' AS column_name, unnest([0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0])::DOUBLE AS p,
@@ -216,7 +216,7 @@ def shape_report_sql(source: str, section: str) -> str:
       f"'{kind}' AS text FROM (SELECT count(*) FROM insured_dirty) c" for c, kind in TYPES.items()],
 ]) + ") r"))
 def quality_report(spark, sf_dir):
-    return rounded(profile.quality_report(insured_dirty(spark, sf_dir).select(*NAMES), "dirty"), 6)
+    return rounded_report(profile.quality_report(insured_dirty(spark, sf_dir).select(*NAMES), "dirty"))
 
 
 def fence_sql(source: str) -> str:
@@ -274,7 +274,7 @@ ANALYSIS_PARTS += [
 @query(sql("\nUNION ALL\n".join(ANALYSIS_PARTS)))
 def analysis(spark, sf_dir):
     train, test = train_test(insured(spark, sf_dir), "id", exact=True)
-    return rounded(analysis_report(train.select(*NAMES), test.select(*NAMES)), 6)
+    return rounded_report(analysis_report(train.select(*NAMES), test.select(*NAMES)))
 
 
 @query(sql("""SELECT 'ingest' AS stage, s || '_samples' AS metric, n::DOUBLE AS value, NULL::VARCHAR AS text
@@ -287,6 +287,6 @@ def stage_metrics(spark, sf_dir):
     return sample_metrics([("train", train), ("test", test)])
 
 
-@query(union_sql("SELECT '{c}' AS column_name, round(avg({c}), 6) AS mean FROM lineitem", LINE_NUMBERS))
+@query(union_sql("SELECT '{c}' AS column_name, round(avg({c}), 3) AS mean FROM lineitem", LINE_NUMBERS))
 def column_means(spark, sf_dir):
-    return rounded(profile.means(table(spark, sf_dir, "lineitem"), LINE_NUMBERS))
+    return rounded(profile.means(table(spark, sf_dir, "lineitem"), LINE_NUMBERS), 3)

@@ -19,7 +19,7 @@ from plumbline.sources.files import (
 )
 from plumbline.streaming.scorer import request_stream, write_available
 from plumbline.workload.conformance import REASONS_SQL, matrix_sql
-from plumbline.workload.fixtures import NAMES, insured, insured_dirty, requests, rounded, sql
+from plumbline.workload.fixtures import NAMES, insured, insured_dirty, requests, rounded, rounded_report, sql
 from plumbline.workload.profiling import quality_report as quality_report_query
 from plumbline.workload.registry import ORACLES, query
 
@@ -76,7 +76,7 @@ def preprocessor_reload(spark, sf_dir):
 def report_round_trip(spark, sf_dir):
     path = scratch_path(spark, "report")
     write_report(quality_report(insured_dirty(spark, sf_dir).select(*NAMES), "dirty").drop("dataset"), path)
-    return rounded(read_report(spark, path, StructType.fromDDL(REPORT_SCHEMA)))
+    return rounded_report(read_report(spark, path, StructType.fromDDL(REPORT_SCHEMA)))
 
 
 @query(REASONS_SQL)
