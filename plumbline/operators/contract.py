@@ -165,7 +165,7 @@ def judge_requests(df: DataFrame, contract: Contract = INSURED, form_bounds: boo
     """Add the typed fields as ``typed_*`` and a ``reason`` that is null for a good request."""
     kinds = dict(contract.columns)
     fields = [name for name, _ in contract.columns if name != contract.target]
-    typed, reason = {}, None
+    typed, parsed, reason = {}, {}, None
 
     def reject(condition: Column, text: str) -> None:
         nonlocal reason
@@ -179,14 +179,19 @@ def judge_requests(df: DataFrame, contract: Contract = INSURED, form_bounds: boo
             typed[name] = F.col(name)
             continue
         parse, noun = (to_long, "whole number") if kinds[name] == "int" else (to_double, "number")
-        typed[name] = parse(F.col(name))
+        parsed[name] = parse(F.col(name)).alias(f"typed_{name}")
+        typed[name] = F.col(f"typed_{name}")
         reject(typed[name].isNull(), f"{INVALID_PREFIX}{name} is not a {noun}")
     if form_bounds:
         for name, (lo, hi) in FORM_BOUNDS.items():
             reject(outside(typed[name], lo, hi), f"{INVALID_PREFIX}{name} is out of range")
     for name, allowed in ALLOWED_VALUES.items():
         reject(~F.col(name).isin(allowed), f"{INVALID_PREFIX}{name} is not a known choice")
-    return df.withColumns({**{f"typed_{name}": expr for name, expr in typed.items()}, "reason": reason})
+    # Parsed once here, behind a generator: a filter on the reason would otherwise be merged
+    # with the casts, and repeat them in code too long for the JVM to compile.
+    cells = df.select("*", F.inline(F.array(F.struct(*parsed.values()))))
+    texts = {f"typed_{name}": expr for name, expr in typed.items() if name not in parsed}
+    return cells.withColumns({**texts, "reason": reason})
 
 
 def accepted_requests(judged: DataFrame, contract: Contract = INSURED) -> DataFrame:

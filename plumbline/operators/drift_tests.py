@@ -29,8 +29,9 @@ DISTANCE = 0.1
 DRIFT_SHARE = 0.5
 STD_FLOOR = 0.001
 
-BUCKET_VALUES = 500_000
-MAX_BUCKETS = 2_000
+# Distinct values that one window task may order, and the buckets of a call together.
+BUCKET_VALUES = 50_000
+MAX_BUCKETS = 20_000
 
 
 # Below this estimate the number of distinct values is counted exactly.
@@ -79,7 +80,7 @@ def running_counts(
     if distinct is None:
         stacked = ref.unionAll(cur)
         distinct = stacked.agg(*[F.approx_count_distinct(col).alias(col) for col in cols]).first().asDict()
-    buckets = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS) for col in cols}
+    buckets = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS // len(cols)) for col in cols}
     if max(buckets.values()) <= 1:
         return _running_counts_whole(ref, cur, cols)
     return _running_counts_bucketed(ref, cur, _bucket_edges(ref.unionAll(cur), buckets))
@@ -108,8 +109,10 @@ def _running_counts_bucketed(ref: DataFrame, cur: DataFrame, edges: Mapping[str,
         structs = [F.struct(F.lit(col).alias("column_name"), F.col(bucket).cast("int").alias("bucket"),
                             F.col(col).alias("value")) for col, bucket in zip(cols, bucketed)]
         return (cutter.transform(df).select(F.inline(F.array(*structs)))
-                .filter(F.col("value").isNotNull()).withColumn("is_ref", F.lit(is_ref)))
+                .filter(F.col("value").isNotNull() & F.col("bucket").isNotNull())
+                .withColumn("is_ref", F.lit(is_ref)))
 
+    # Both uses of these counts below share one shuffle, as long as their plans stay equal.
     counted = (cells(ref, True).unionAll(cells(cur, False)).groupBy("column_name", "bucket", "value")
                .agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur")))
     # At most MAX_BUCKETS rows per column: small enough to order in one task and to broadcast.

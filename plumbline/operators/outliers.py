@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.quantiles import (
-    TASK_VALUES, interpolated, non_null_counts, order_statistics,
+    TASK_VALUES, first_look, interpolated, order_statistics,
 )
 from plumbline.shared import literal_rows, melt
 
@@ -37,21 +37,19 @@ def fences(
     """Fences at ``k`` interquartile ranges. ``propagate`` gives a column with nulls none."""
     if null_policy not in ("skip", "propagate"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[
-        F.count(F.col(col)).alias(f"n{i}") for i, col in enumerate(cols)]).first()
-    counts = {col: row[f"n{i}"] for i, col in enumerate(cols)}
+    look = first_look(df, cols, BOX_QUARTILES, [F.count(F.lit(1)).alias("n")])
     usable = [col for col in cols
-              if counts[col] > 0 and (null_policy == "skip" or counts[col] == row["n"])]
-    values = interpolated(df, usable, BOX_QUARTILES, counts, exact, task_values)
-    found = {}
-    for col in cols:
-        if col not in usable:
-            found[col] = Fence(None, None, None, None, None)
-            continue
-        q1, median, q3 = (values[col, p] for p in BOX_QUARTILES)
-        reach = k * (q3 - q1)
-        found[col] = Fence(q1, median, q3, q1 - reach, q3 + reach)
-    return found
+              if look.counts[col] > 0 and (null_policy == "skip" or look.counts[col] == look.extra["n"])]
+    values = interpolated(df, look, usable, BOX_QUARTILES, exact, task_values)
+    return {col: fence(*(values[col, p] if col in usable else None for p in BOX_QUARTILES), k) for col in cols}
+
+
+def fence(q1: float | None, median: float | None, q3: float | None, k: float = FENCE_WIDTH) -> Fence:
+    """The fence that follows from the quartiles."""
+    if q1 is None or q3 is None:
+        return Fence(None, None, None, None, None)
+    reach = k * (q3 - q1)
+    return Fence(q1, median, q3, q1 - reach, q3 + reach)
 
 
 def _beyond(col: str, fence: Fence):
@@ -80,7 +78,12 @@ def outlier_counts(
     exact: bool = True, task_values: int = TASK_VALUES,
 ) -> DataFrame:
     """Outliers per column, and under the name ``any`` the rows with at least one."""
-    found = fences(df, cols, k, null_policy, exact, task_values)
+    return count_beyond(df, fences(df, cols, k, null_policy, exact, task_values))
+
+
+def count_beyond(df: DataFrame, found: Mapping[str, Fence]) -> DataFrame:
+    """Outlier counts for known fences, from one scan."""
+    cols = list(found)
     hits = [_beyond(col, found[col]) for col in cols]
     counted = df.agg(
         F.count_if(reduce(lambda a, b: a | b, hits)).alias("any"),
@@ -96,10 +99,14 @@ def winsorise(
     """Pull the ``int(lower * n)`` lowest and ``int(upper * n)`` highest values of each
     column to the nearest remaining value. Nulls stay null and are not counted."""
     cols = [col for col in cols if col in df.columns]
-    counts = non_null_counts(df, cols)
+    look = first_look(df, cols, (lower, 1.0 - upper))
+    counts = look.counts
     filled = [col for col in cols if counts[col] > 0]
     ends = {col: (int(lower * counts[col]), counts[col] - 1 - int(upper * counts[col])) for col in filled}
-    values = order_statistics(df, {col: list(pair) for col, pair in ends.items()}, counts, task_values)
+    near = {(col, rank): look.ends[col, p]
+            for col in filled for rank, p in zip(ends[col], (lower, 1.0 - upper))}
+    values = order_statistics(
+        df, {col: list(pair) for col, pair in ends.items()}, counts, task_values, look.distinct, near)
     clipped = {}
     for col in filled:
         lo, hi = (F.lit(values[col, rank]) for rank in ends[col])
@@ -110,20 +117,15 @@ def winsorise(
     return df.withColumns(clipped) if clipped else df
 
 
-def _sample_stats(df: DataFrame, col: str):
-    x = F.col(col).cast("double")
-    return df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-                  F.stddev_samp(x).alias("std")).first()
-
-
-def automatic_bins(df: DataFrame, col: str, stats=None, task_values: int = TASK_VALUES) -> int:
+def automatic_bins(df: DataFrame, col: str, task_values: int = TASK_VALUES) -> int:
     """Bin count of numpy's ``auto`` rule: the narrower of the Freedman-Diaconis width
     (at least half the square-root width) and the Sturges width."""
-    stats = stats or _sample_stats(df, col)
-    n, span = stats["n"], (stats["hi"] or 0.0) - (stats["lo"] or 0.0)
-    if n == 0 or span == 0:
+    x = F.col(col).cast("double")
+    look = first_look(df, [col], (0.25, 0.75), [(F.max(x) - F.min(x)).alias("span")])
+    n, span = look.counts[col], look.extra["span"]
+    if not n or not span:
         return 1
-    q = interpolated(df, [col], (0.25, 0.75), {col: n}, task_values=task_values)
+    q = interpolated(df, look, [col], (0.25, 0.75), task_values=task_values)
     by_spread = 2.0 * (q[col, 0.75] - q[col, 0.25]) * n ** (-1.0 / 3.0)
     by_size = span / (math.log2(n) + 1.0)
     width = min(max(by_spread, span / math.sqrt(n) / 2.0), by_size)
@@ -136,15 +138,15 @@ def histogram(
     df: DataFrame, col: str, bins: int | None = None, task_values: int = TASK_VALUES,
 ) -> DataFrame:
     """``(bin, lo, hi, n)`` with equal widths, the last bin closed, empty bins kept."""
-    stats = _sample_stats(df, col)
-    if stats["n"] == 0:
+    x = F.col(col).cast("double")
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    if lo is None:
         return literal_rows(df.sparkSession, "bin bigint, lo double, hi double, n bigint", [])
-    bins = bins or automatic_bins(df, col, stats, task_values)
-    lo, hi = stats["lo"], stats["hi"]
+    bins = bins or automatic_bins(df, col, task_values)
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
-    at = F.floor((F.col(col).cast("double") - F.lit(lo)) / F.lit(width))
+    at = F.floor((x - F.lit(lo)) / F.lit(width))
     counted = (df.filter(F.col(col).isNotNull())
                .groupBy(F.least(at, F.lit(bins - 1)).cast("bigint").alias("bin"))
                .agg(F.count(F.lit(1)).alias("n")))

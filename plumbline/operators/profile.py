@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import percent, ratio
 from plumbline.operators.contract import columns_by_type, outside
-from plumbline.operators.quantiles import TASK_VALUES, interpolated
+from plumbline.operators.quantiles import TASK_VALUES, first_look, interpolated
 from plumbline.shared import chunks, literal_rows, melt, tall
 
 REPORT = ["section", "column_name", "metric", "value", "text"]
@@ -85,16 +85,16 @@ def describe_values(
     """count, mean, sample std, min, quartiles and max of each column, on the driver."""
     found: dict[tuple[str, str], float | None] = {}
     for group in chunks(list(cols), 50):
-        aggs = []
+        extra = []
         for i, col in enumerate(group):
             x = F.col(col).cast("double")
-            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                     F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
-        row = df.agg(*aggs).first()
-        counts = {col: row[f"n{i}"] for i, col in enumerate(group)}
-        quartiles = interpolated(df, group, QUARTILES, counts, exact, task_values)
+            extra += [F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                      F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
+        look = first_look(df, group, QUARTILES, extra)
+        quartiles = interpolated(df, look, group, QUARTILES, exact, task_values)
         for i, col in enumerate(group):
-            found[col, "count"] = float(counts[col])
+            row = look.extra
+            found[col, "count"] = float(look.counts[col])
             found[col, "mean"], found[col, "std"] = row[f"a{i}"], row[f"s{i}"]
             found[col, "min"] = row[f"l{i}"]
             for p, name in zip(QUARTILES, ("25%", "50%", "75%")):
@@ -200,8 +200,9 @@ def correlation_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
     return rows.orderBy(F.col("corr").desc_nulls_last(), "column_name")
 
 
-def _quality_counts(df: DataFrame) -> DataFrame:
-    """Rows, duplicates and missing cells of every column out of one grouping of the rows."""
+def quality_counts(df: DataFrame) -> DataFrame:
+    """``n`` rows, ``dup`` duplicates and ``m<i>`` missing cells of column i, out of one
+    grouping of the rows."""
     return _copies(df).agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("dup"),
@@ -212,7 +213,7 @@ def _quality_counts(df: DataFrame) -> DataFrame:
 def quality_score(df: DataFrame) -> DataFrame:
     """100 less capped penalties for missing cells and duplicate rows, never below 0."""
     cells = reduce(lambda total, i: total + F.col(f"m{i}"), range(len(df.columns)), F.lit(0))
-    counted = _quality_counts(df).select("n", "dup", cells.alias("missing_cells"))
+    counted = quality_counts(df).select("n", "dup", cells.alias("missing_cells"))
     missing_penalty = F.least(percent(F.col("missing_cells"), F.col("n")), F.lit(float(MISSING_PENALTY_CAP)))
     duplicate_penalty = F.least(percent(F.col("dup"), F.col("n")), F.lit(float(DUPLICATE_PENALTY_CAP)))
     # least() skips nulls; an empty table has no ratio and so no score.
@@ -232,7 +233,7 @@ def quality_report(df: DataFrame, name: str, exact: bool = True) -> DataFrame:
     ]
     for i, col in enumerate(df.columns):
         entries.append(("missing", F.lit(col), "missing_count", F.col(f"m{i}").cast("double"), _null_text()))
-    counted = melt(_quality_counts(df), REPORT, entries)
+    counted = melt(quality_counts(df), REPORT, entries)
     rows = [("types", col, "data_type", None, kind) for col, kind in df.dtypes]
     numeric = columns_by_type(df, "numeric")
     if numeric:

@@ -14,7 +14,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from plumbline.shared import literal_rows
@@ -23,6 +23,8 @@ from plumbline.shared import literal_rows
 TASK_VALUES = 100_000
 # Relative rank error of the sketch is 1 / ACCURACY.
 ACCURACY = 5_000
+# Half the width, in ranks, of the interval that a sketch pass proposes.
+MARGIN = 2.0 / ACCURACY
 
 
 @dataclass
@@ -82,12 +84,12 @@ def _read_exactly(df: DataFrame, searches: Sequence[_Search]) -> None:
 def _propose(df: DataFrame, searches: Sequence[_Search], with_distinct: bool) -> tuple[dict, dict]:
     """Sketch pass: interval ends for each search and, once, the number of distinct values."""
     groups = list(_by_interval(searches).items())
-    aggs, margin = [], 2.0 / ACCURACY
+    aggs = []
     for i, ((col, lo, hi), members) in enumerate(groups):
         points = []
         for search in members:
             at = (search.rank - search.below) / max(search.inside - 1, 1)
-            points += [max(0.0, at - margin), min(1.0, at + margin)]
+            points += [max(0.0, at - MARGIN), min(1.0, at + MARGIN)]
         values = _inside(col, lo, hi)
         aggs.append(F.percentile_approx(values.cast("double"), points, ACCURACY).alias(f"q{i}"))
         if with_distinct:
@@ -131,37 +133,76 @@ def _narrow(search: _Search, lo: float, hi: float, counts: Mapping) -> None:
         search.lo, search.hi = lo, hi
 
 
+@dataclass(frozen=True)
+class FirstLook:
+    """What one scan tells about columns: counts, about how many distinct values, an interval
+    around each wanted quantile, and whatever else was asked for."""
+
+    counts: dict[str, int]
+    distinct: dict[str, int]
+    ends: dict[tuple[str, float], tuple[float, float]]
+    extra: Row
+
+
+def first_look(
+    df: DataFrame, cols: Sequence[str], ps: Sequence[float], extra: Sequence[Column] = (),
+) -> FirstLook:
+    """Counts, sketches and further aggregates of the columns, in one job."""
+    aggs, points = [], []
+    for p in ps:
+        points += [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
+    for i, col in enumerate(cols):
+        x = F.col(col).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.approx_count_distinct(x).alias(f"d{i}"),
+                 F.percentile_approx(x, points, ACCURACY).alias(f"q{i}")]
+    row = df.agg(*aggs, *extra).first()
+    ends = {(col, p): tuple(row[f"q{i}"][2 * j:2 * j + 2])
+            for i, col in enumerate(cols) if row[f"n{i}"] for j, p in enumerate(ps)}
+    return FirstLook({col: row[f"n{i}"] for i, col in enumerate(cols)},
+                     {col: row[f"d{i}"] for i, col in enumerate(cols)}, ends, row)
+
+
 def order_statistics(
     df: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
-    task_values: int = TASK_VALUES,
+    task_values: int = TASK_VALUES, distinct: Mapping[str, int] | None = None,
+    proposals: Mapping[tuple[str, int], tuple[float, float]] | None = None,
 ) -> dict[tuple[str, int], float]:
     """Value at each 0-based rank among the non-null values of each column.
 
-    ``counts`` holds the number of non-null values per column. Values are compared as
-    doubles, so whole numbers beyond 2**53 lose their last digits.
+    ``counts`` holds the number of non-null values per column. ``distinct`` and
+    ``proposals`` (interval ends per column and rank) save the first sketch pass where
+    they are known; a poor proposal costs a pass, never the result. Values are compared
+    as doubles, so whole numbers beyond 2**53 lose their last digits.
     """
     searches = [
         _Search(col, rank, 0, counts[col])
         for col, wanted in ranks.items() for rank in sorted(set(wanted))
     ]
     df = df.select(*[F.col(col).cast("double").alias(col) for col in ranks])
-    small_columns: set[str] = set()
-    first = True
     while True:
         open_ = [s for s in searches if s.value is None]
         share = task_values // max(len(_by_interval(open_)), 1)
-        big = [s for s in open_ if s.inside > share and s.col not in small_columns]
+
+        def fits(search: _Search) -> bool:
+            # A column of few distinct values fits one task however many rows repeat them.
+            return search.inside <= share or (
+                search.lo is None and search.hi is None and distinct is not None
+                and distinct[search.col] * 1.2 <= share)
+
+        big = [s for s in open_ if not fits(s)]
         if not big:
             _read_exactly(df, open_)
             break
-        ends, distinct = _propose(df, big, with_distinct=first)
-        if first:
-            # A column of few distinct values fits one task however many rows repeat them.
-            small_columns = {col for col, number in distinct.items() if number * 1.2 <= share}
-            first = False
-        big = [s for s in big if s.col not in small_columns]
-        if not big:
-            continue
+        if proposals:
+            ends = {id(s): proposals[s.col, s.rank] for s in big}
+            proposals = None
+        else:
+            ends, found = _propose(df, big, with_distinct=distinct is None)
+            if distinct is None:
+                distinct = {**{col: counts[col] for col in ranks}, **found}
+                big = [s for s in big if not fits(s)]
+                if not big:
+                    continue
         points = sorted({(s.col, end) for s in big for end in ends[id(s)]})
         exact = _count_around(df, points)
         for search in big:
@@ -177,44 +218,37 @@ def linear_position(p: float, n: int) -> tuple[int, int, float]:
 
 
 def interpolated(
-    df: DataFrame, cols: Sequence[str], ps: Sequence[float], counts: Mapping[str, int],
+    df: DataFrame, look: FirstLook, cols: Sequence[str], ps: Sequence[float],
     exact: bool = True, task_values: int = TASK_VALUES,
 ) -> dict[tuple[str, float], float | None]:
-    """Linearly interpolated quantiles; one sketch pass instead when ``exact`` is off."""
-    filled = [col for col in cols if counts[col] > 0]
+    """Linearly interpolated quantiles; the middle of the sketched interval, without a
+    further scan, when ``exact`` is off."""
+    filled = [col for col in cols if look.counts[col] > 0]
     result: dict[tuple[str, float], float | None] = {(col, p): None for col in cols for p in ps}
-    if not filled:
-        return result
     if not exact:
-        row = df.agg(*[
-            F.percentile_approx(F.col(col).cast("double"), list(ps), ACCURACY).alias(f"q{i}")
-            for i, col in enumerate(filled)]).first()
-        for i, col in enumerate(filled):
-            for j, p in enumerate(ps):
-                result[col, p] = row[f"q{i}"][j]
+        result.update({(col, p): sum(look.ends[col, p]) / 2.0 for col in filled for p in ps})
+    if not exact or not filled:
         return result
-    positions = {(col, p): linear_position(p, counts[col]) for col in filled for p in ps}
+    positions = {(col, p): linear_position(p, look.counts[col]) for col in filled for p in ps}
     ranks: dict[str, list[int]] = {col: [] for col in filled}
-    for (col, _), (lower, upper, weight) in positions.items():
-        ranks[col] += [lower, upper] if weight > 0 else [lower]
-    values = order_statistics(df, ranks, counts, task_values)
+    proposals = {}
+    for (col, p), (lower, upper, weight) in positions.items():
+        for rank in ([lower, upper] if weight > 0 else [lower]):
+            ranks[col].append(rank)
+            proposals[col, rank] = look.ends[col, p]
+    values = order_statistics(df, ranks, look.counts, task_values, look.distinct, proposals)
     for (col, p), (lower, upper, weight) in positions.items():
         at = values[col, lower]
         result[col, p] = at + weight * (values[col, upper] - at) if weight > 0 else at
     return result
 
 
-def non_null_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    row = df.agg(*[F.count(F.col(col)).alias(f"n{i}") for i, col in enumerate(cols)]).first()
-    return {col: row[f"n{i}"] for i, col in enumerate(cols)}
-
-
 def percentiles(
     df: DataFrame, cols: Sequence[str], ps: Sequence[float], exact: bool = True,
     task_values: int = TASK_VALUES,
 ) -> DataFrame:
     """``(column_name, p, value)`` for each column and each quantile."""
-    values = interpolated(df, cols, ps, non_null_counts(df, cols), exact, task_values)
+    values = interpolated(df, first_look(df, cols, ps), cols, ps, exact, task_values)
     return literal_rows(
         df.sparkSession, "column_name string, p double, value double",
         [(col, float(p), values[col, p]) for col in cols for p in ps])

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.contract import INSURED, Contract
-from plumbline.operators.outliers import outlier_counts, winsorise
+from plumbline.operators.outliers import count_beyond, fence, winsorise
 from plumbline.operators.profile import (
-    REPORT, REPORT_SCHEMA, correlation_with, describe_values, duplicates, missing, shape, value_counts,
+    REPORT, REPORT_SCHEMA, correlation_with, describe_values, quality_counts, shape, value_counts,
 )
 from plumbline.shared import literal_rows, melt
 
@@ -36,27 +37,29 @@ def analysis_report(
     numeric = list(contract.numeric)
     parts = []
     for side, df in (("train", train), ("test", test)):
+        nothing = F.lit(None).cast("string")
+        entries = []
         # Winsorising changes values only, so the cleaned shape is the shape.
-        sized = shape(df)
         for name in (f"original_{side}_shape", f"cleaned_{side}_shape"):
-            parts += [_as_report(sized, name, None, "rows", "n_rows"),
-                      _as_report(sized, name, None, "columns", "n_columns")]
-        parts.append(_as_report(outlier_counts(df, numeric, exact=exact), f"{side}_outliers",
-                                "column_name", "outlier_count", "outlier_count"))
-        parts.append(_as_report(missing(df), f"{side}_missing", "column_name", "missing_count", "missing_count"))
-        parts.append(_as_report(duplicates(df), f"{side}_duplicates", None, "duplicate_rows", "duplicate_count"))
+            entries += [(name, nothing, "rows", F.col("n").cast("double"), nothing),
+                        (name, nothing, "columns", F.lit(float(len(df.columns))), nothing)]
+        entries.append((f"{side}_duplicates", nothing, "duplicate_rows", F.col("dup").cast("double"), nothing))
+        entries += [(f"{side}_missing", name, "missing_count", F.col(f"m{i}").cast("double"), nothing)
+                    for i, name in enumerate(df.columns)]
+        parts.append(melt(quality_counts(df), REPORT, entries))
         stats = describe_values(df, numeric, exact)
         parts.append(literal_rows(df.sparkSession, REPORT_SCHEMA, [
             (f"{side}_descriptive", col, metric, value, None) for (col, metric), value in stats.items()]))
+        # The quartiles of the statistics are the ones that the fences need.
+        found = {col: fence(*(stats[col, q] for q in ("25%", "50%", "75%"))) for col in numeric}
+        parts.append(_as_report(count_beyond(df, found), f"{side}_outliers",
+                                "column_name", "outlier_count", "outlier_count"))
     cleaned = winsorise(train, WINSORISED)
     parts.append(_as_report(correlation_with(cleaned, numeric, contract.target),
                             "correlation_with_target", "column_name", "corr", "corr"))
     counts = value_counts(train, contract.categorical)
     parts.append(_as_report(counts, "categorical_summary", "column_name", "n", "n", F.col("value")))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report.select(*REPORT)
+    return reduce(DataFrame.unionByName, parts).select(*REPORT)
 
 
 def stage_metrics(stage: str, numbers: dict[str, float], spark, texts: dict[str, str] | None = None) -> DataFrame:
@@ -73,7 +76,4 @@ def sample_metrics(samples: Sequence[tuple[str, DataFrame]], stage: str = "inges
         parts.append(melt(shape(df), ["stage", "metric", "value", "text"], [
             (stage, f"{name}_samples", F.col("n_rows").cast("double"), F.lit(None).cast("string")),
             (stage, f"{name}_columns", F.col("n_columns").cast("double"), F.lit(",".join(df.columns)))]))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    return reduce(DataFrame.unionByName, parts)

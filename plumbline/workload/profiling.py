@@ -9,6 +9,7 @@ from plumbline.operators.contract import ALLOWED_VALUES, INSURED, VALUE_RANGES,
 from plumbline.operators.quantiles import percentiles
 from plumbline.operators.split import train_test
 from plumbline.plans.reports import analysis_report, sample_metrics
+from plumbline.shared import scratch_path
 from plumbline.workload.fixtures import NAMES, insured, insured_dirty, rounded, rounded_report, sql, table
 from plumbline.workload.registry import query
 
@@ -271,9 +272,17 @@ ANALYSIS_PARTS += [
 ]
 
 
+def stored_split(spark, sf_dir):
+    """The two samples as tables, the form in which a run hands them to its later stages."""
+    base = scratch_path(spark, "split")
+    for side, df in zip(("train", "test"), train_test(insured(spark, sf_dir), "id", exact=True)):
+        df.write.parquet(f"{base}/{side}")
+    return spark.read.parquet(f"{base}/train"), spark.read.parquet(f"{base}/test")
+
+
 @query(sql("\nUNION ALL\n".join(ANALYSIS_PARTS)))
 def analysis(spark, sf_dir):
-    train, test = train_test(insured(spark, sf_dir), "id", exact=True)
+    train, test = stored_split(spark, sf_dir)
     return rounded_report(analysis_report(train.select(*NAMES), test.select(*NAMES)))
 
 
