@@ -262,7 +262,8 @@ def validation_rows(result: Validation, train: DataFrame, test: DataFrame) -> Da
             *[F.count_if(F.col(name).isNull()).alias(f"missing_{i}") for i, name in enumerate(df.columns)])
         nothing = F.lit(None).cast("string")
         entries = [(f"{side}_shape", nothing, "rows", F.col("rows").cast("double"), nothing),
-                   (f"{side}_shape", nothing, "columns", F.lit(float(len(df.columns))), nothing)]
+                   (f"{side}_shape", nothing, "columns", F.lit(float(len(df.columns))),
+                    F.lit(",".join(df.columns)))]
         for i, name in enumerate(df.columns):
             entries.append((f"{side}_missing", F.lit(name), "missing_count",
                             F.col(f"missing_{i}").cast("double"), nothing))

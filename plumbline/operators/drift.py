@@ -50,10 +50,12 @@ def mean_drift(
     """Relative change of each mean. With the signed denominator a negative reference mean
     gives a negative score, which never drifts; ``abs`` mends that."""
     cols = _shared(ref, cur, cols)
-    ref_row = ref.agg(*[F.avg(F.col(col)).alias(f"r{i}") for i, col in enumerate(cols)])
-    cur_row = cur.agg(*[F.avg(F.col(col)).alias(f"c{i}") for i, col in enumerate(cols)])
-    # Both sides hold exactly one row.
-    paired = ref_row.join(F.broadcast(cur_row), F.lit(True))
+    as_double = [F.col(col).cast("double").alias(col) for col in cols]
+    stacked = (ref.select(*as_double, F.lit(True).alias("is_ref"))
+               .unionAll(cur.select(*as_double, F.lit(False).alias("is_ref"))))
+    paired = stacked.agg(
+        *[F.avg(F.when(F.col("is_ref"), F.col(col))).alias(f"r{i}") for i, col in enumerate(cols)],
+        *[F.avg(F.when(~F.col("is_ref"), F.col(col))).alias(f"c{i}") for i, col in enumerate(cols)])
     entries = []
     for i, col in enumerate(cols):
         score = _difference(F.col(f"r{i}"), F.col(f"c{i}"), denominator)

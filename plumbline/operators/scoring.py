@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +38,12 @@ def compare(challenger: DataFrame, champion: DataFrame | None = None, min_gain:
 
     Both inputs are one metrics row. The reported threshold takes no part in the decision.
     """
-    ours = challenger.select(F.col("r2").alias("challenger_r2"), F.col("rmse").alias("challenger_rmse"),
-                             F.col("mae").alias("challenger_mae"))
-    names = {"r2": "champion_r2", "rmse": "champion_rmse", "mae": "champion_mae"}
-    if champion is None:
-        paired = ours.withColumns({name: F.lit(None).cast("double") for name in names.values()})
-    else:
-        theirs = champion.limit(1).select(*[F.col(old).alias(new) for old, new in names.items()])
-        paired = ours.join(F.broadcast(theirs), F.lit(True), "left")
+    sides = [("challenger", challenger)] + ([] if champion is None else [("champion", champion)])
+    stacked = reduce(DataFrame.unionByName, [
+        df.select(F.lit(side).alias("side"), "r2", "rmse", "mae") for side, df in sides])
+    paired = stacked.agg(*[
+        F.max(F.when(F.col("side") == side, F.col(name))).alias(f"{side}_{name}")
+        for side in ("challenger", "champion") for name in ("r2", "rmse", "mae")])
     gain = F.col("challenger_r2") - F.coalesce(F.col("champion_r2"), F.lit(0.0))
     accepted = gain > F.lit(min_gain)
     return paired.withColumns({

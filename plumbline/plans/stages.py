@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.functions.scalars import iso_stamp
 from plumbline.operators.contract import (
     INSURED, Contract, Validation, coerce, normalise_nulls, validate, validation_rows,
 )
@@ -88,7 +89,8 @@ def _is_done(spark: SparkSession, settings: Settings, stage: str) -> bool:
 
 def _finish(settings: Settings, stage: str, metrics: DataFrame) -> None:
     """Stage metrics are written last; a stage without them is not complete."""
-    write_report(metrics, settings.path(f"metrics/{stage}"))
+    stamped = metrics.withColumn("stamped_at", iso_stamp())
+    write_report(stamped, settings.path(f"metrics/{stage}"))
 
 
 def _sample(spark: SparkSession, settings: Settings, side: str) -> DataFrame:

@@ -30,11 +30,16 @@ def qualified(table: str, schema: str | None) -> str:
     return f"{schema}.{table}" if schema else table
 
 
+def clean_url(url: str) -> str:
+    """The URL without the blanks and quotes that settings files leave around it."""
+    return url.strip().strip('"').strip("'")
+
+
 def read_options(
     url: str, table: str, schema: str | None = None, partitioning: Partitioning | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    options = {"url": url, "dbtable": qualified(table, schema), "fetchsize": str(FETCH_ROWS)}
+    options = {"url": clean_url(url), "dbtable": qualified(table, schema), "fetchsize": str(FETCH_ROWS)}
     if partitioning:
         options.update(partitioning.options())
     options.update(properties or {})
@@ -59,7 +64,7 @@ def key_range(
 ) -> Partitioning:
     """Ask the database for the ends of the key and cut them into ranges."""
     query = f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {qualified(table, schema)}"
-    row = spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load().first()
+    row = spark.read.format("jdbc").options(url=clean_url(url), query=query, **(properties or {})).load().first()
     lo, hi = row[0] or 0, row[1] or 0
     return Partitioning(key, lo, hi + 1, partitions)
 
@@ -71,7 +76,7 @@ def write_table(
     """Write rows with mode ``replace``, ``append`` or ``fail``."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}")
-    df.write.jdbc(url, qualified(table, schema), mode=MODES[mode], properties=dict(properties or {}))
+    df.write.jdbc(clean_url(url), qualified(table, schema), mode=MODES[mode], properties=dict(properties or {}))
 
 
 def list_tables(

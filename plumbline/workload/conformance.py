@@ -89,7 +89,8 @@ FLAGS = ["train_columns_valid", "test_columns_valid", "train_columns_exist", "te
     """SELECT 'checks', NULL, 'drift_detected', (drifted)::INT::DOUBLE, NULL
        FROM (SELECT (SELECT abs(avg(charges) - (SELECT avg(charges) FROM insured_shifted)) / avg(charges)
        FROM insured) > 0.2 AS drifted) d""",
-    shape_report_sql("insured", "train_shape"), shape_report_sql("insured_shifted", "test_shape"),
+    *[shape_report_sql(source, section).replace("7.0::DOUBLE, NULL", f"7.0::DOUBLE, '{','.join(NAMES)}'")
+      for source, section in (("insured", "train_shape"), ("insured_shifted", "test_shape"))],
     missing_report_sql("insured", "train_missing"), missing_report_sql("insured_shifted", "test_missing")])))
 def validation_summary(spark, sf_dir):
     def drifted(ref, cur):

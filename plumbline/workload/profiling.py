@@ -139,14 +139,13 @@ TYPES = {"age": "bigint", "sex": "string", "bmi": "double", "children": "bigint"
 
 
 @query(sql("\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count({c}) AS non_null FROM insured_dirty"
+    f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) - count({c}) AS missing_count FROM insured_dirty"
     for c, kind in TYPES.items())))
 def column_profile(spark, sf_dir):
     df = insured_dirty(spark, sf_dir).select(*NAMES)
-    rows = profile.shape(df).select("n_rows")
-    counted = profile.missing(df).join(F.broadcast(rows), F.lit(True))
-    return (profile.type_profile(df).join(F.broadcast(counted), "column_name")
-            .select("column_name", "data_type", (F.col("n_rows") - F.col("missing_count")).alias("non_null")))
+    # One row per column on both sides.
+    return (profile.missing(df).join(F.broadcast(profile.type_profile(df)), "column_name")
+            .select("column_name", "data_type", "missing_count"))
 
 
 @query(sql("\nUNION ALL\n".join(

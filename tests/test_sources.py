@@ -40,6 +40,7 @@ def test_jdbc_options():
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
         "id", "1", "1001", "8")
     assert jdbc.read_options("jdbc:x", "people")["dbtable"] == "people"
+    assert jdbc.read_options(' "jdbc:x" ', "people")["url"] == "jdbc:x"
 
 
 def test_jdbc_modes(spark):
