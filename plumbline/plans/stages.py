@@ -190,14 +190,13 @@ def _evaluate(spark: SparkSession, settings: Settings) -> None:
 
 
 def _promote(spark: SparkSession, settings: Settings) -> None:
-    row = spark.read.parquet(settings.path("decision")).first()
-    done = registry.is_present(spark, settings.registry, settings.run_id)
-    if row["accepted"] and not done:
-        # The run id is the version, so a repeated attempt cannot publish twice.
-        registry.publish(spark, settings.registry, load_model(settings.path("model")),
-                         row["challenger_r2"], row["challenger_rmse"], row["challenger_mae"],
-                         version=settings.run_id)
-    _finish(settings, "promote", stage_metrics("promote", {"promoted": row["accepted"]}, spark))
+    decision = spark.read.parquet(settings.path("decision"))
+    accepted = decision.first()["accepted"]
+    # The run id is the version, so a repeated attempt does not publish twice.
+    if accepted and not registry.is_present(spark, settings.registry, settings.run_id):
+        registry.promote_if_accepted(
+            spark, settings.registry, decision, load_model(settings.path("model")), settings.run_id)
+    _finish(settings, "promote", stage_metrics("promote", {"promoted": accepted}, spark))
 
 
 _RUN = {"ingest": _ingest, "analyse": _analyse, "validate": _validate, "transform": _transform,

@@ -59,12 +59,14 @@ def publish(
 
 def promote_if_accepted(
     spark: SparkSession, base: str, decision: DataFrame, model: PipelineModel,
+    version: str | None = None,
 ) -> str | None:
     """Publish the challenger when the decision row accepts it; else keep the champion."""
     row = decision.first()
     if not row["accepted"]:
         return None
-    return publish(spark, base, model, row["challenger_r2"], row["challenger_rmse"], row["challenger_mae"])
+    return publish(spark, base, model, row["challenger_r2"], row["challenger_rmse"],
+                   row["challenger_mae"], version=version)
 
 
 def load_champion(spark: SparkSession, base: str) -> PipelineModel | None:

@@ -254,10 +254,25 @@ def chi_square_statistic(spark, sf_dir):
     return rounded(drift_tests.chi_square_statistic(train, test, CATEGORICAL))
 
 
-@query()
+# Two-sided normal tail by the midpoint rule, and from it the chi-square tail of the
+# freedoms that the category columns have.
+NORMAL_TAIL = """(SELECT 1 - 2 * sum(exp(-0.5 * pow((i + 0.5) * z / 4000, 2))) * z / 4000 / sqrt(2 * pi())
+  FROM range(4000) r(i))"""
+CHI_TAIL = (f"CASE freedom WHEN 1 THEN {NORMAL_TAIL} WHEN 2 THEN exp(-statistic / 2) "
+            f"WHEN 3 THEN {NORMAL_TAIL} + sqrt(2 * statistic / pi()) * exp(-statistic / 2) END")
+
+
+def chi_square_sql(ref: str, cur: str, cols: list[str]) -> str:
+    inner = union_sql(CHI.replace("{ref}", ref).replace("{cur}", cur), cols)
+    return (f"SELECT column_name, statistic, freedom, {CHI_TAIL} AS p_value "
+            f"FROM (SELECT *, sqrt(statistic) AS z FROM ({inner}) c) t")
+
+
+@query(sql("SELECT column_name, round(statistic, 5) AS statistic, freedom, round(p_value, 5) AS p_value, "
+           f"p_value < 0.05 AS drifted FROM ({chi_square_sql('train', 'test', CATEGORICAL)}) c"))
 def chi_square_test(spark, sf_dir):
     train, test = train_test(insured(spark, sf_dir), "id", exact=True)
-    return rounded(drift_tests.chi_square(train, test, CATEGORICAL))
+    return rounded(drift_tests.chi_square(train, test, CATEGORICAL), 5)
 
 
 Z = """SELECT '{c}' AS column_name, (pa - pb) / sqrt(pp * (1 - pp) * (1 / na + 1 / nb)) AS statistic FROM
@@ -274,10 +289,17 @@ def proportion_statistic(spark, sf_dir):
     return rounded(drift_tests.proportion_statistic(train, test, ["sex", "smoker"]))
 
 
-@query()
+def proportion_sql(ref: str, cur: str, cols: list[str]) -> str:
+    inner = union_sql(Z.replace("{ref}", ref).replace("{cur}", cur), cols)
+    return (f"SELECT column_name, statistic, {NORMAL_TAIL} AS p_value "
+            f"FROM (SELECT *, abs(statistic) AS z FROM ({inner}) c) t")
+
+
+@query(sql("SELECT column_name, round(statistic, 5) + 0.0::DOUBLE AS statistic, round(p_value, 5) AS p_value, "
+           f"p_value < 0.05 AS drifted FROM ({proportion_sql('train', 'test', ['sex', 'smoker'])}) z"))
 def proportion_test(spark, sf_dir):
     train, test = train_test(insured(spark, sf_dir), "id", exact=True)
-    return rounded(drift_tests.proportion_z(train, test, ["sex", "smoker"]))
+    return rounded(drift_tests.proportion_z(train, test, ["sex", "smoker"]), 5)
 
 
 def shannon_sql(ref: str, cur: str, cols: list[str]) -> str:
@@ -307,9 +329,19 @@ def dataset_drift(spark, sf_dir):
         insured(spark, sf_dir), insured_shifted(spark, sf_dir), INSURED))
 
 
-@query()
+@query(sql(f"""SELECT column_name, test, round(score, 5) AS score, score < 0.05 AS drifted,
+  count(*) FILTER (score < 0.05) OVER () AS drifted_columns, count(*) OVER () AS n_columns,
+  round(count(*) FILTER (score < 0.05) OVER () / (count(*) OVER ())::DOUBLE, 5) AS drift_share,
+  count(*) FILTER (score < 0.05) OVER () / (count(*) OVER ())::DOUBLE >= 0.5 AS dataset_drift FROM (
+SELECT column_name, 'ks' AS test, {KS_TAIL} AS score
+FROM (SELECT *, ks * sqrt(n_ref::DOUBLE * n_cur / (n_ref + n_cur)) AS z
+  FROM ({curve_sql('insured', 'insured_shifted', NUMERIC)}) k) t
+UNION ALL SELECT column_name, 'proportion_z', p_value
+FROM ({proportion_sql('insured', 'insured_shifted', ['sex', 'smoker'])}) z
+UNION ALL SELECT column_name, 'chi_square', p_value
+FROM ({chi_square_sql('insured', 'insured_shifted', ['region'])}) c) d"""))
 def dataset_drift_by_p_values(spark, sf_dir):
     """The tests meant for small samples, on every row."""
     rules = drift_tests.DriftRules(small_sample=10 ** 15)
     return rounded(drift_tests.dataset_drift(
-        insured(spark, sf_dir), insured_shifted(spark, sf_dir), INSURED, rules))
+        insured(spark, sf_dir), insured_shifted(spark, sf_dir), INSURED, rules), 5)

@@ -6,10 +6,11 @@ takes the place of a model; the rest is checked by its properties in the tests.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from plumbline.operators.contract import accepted_requests, judge_requests
-from plumbline.operators.encode import build_matrices
+from plumbline.operators.encode import ColumnTransformer, build_matrices
 from plumbline.operators.scoring import bundle, compare, evaluate, score
 from plumbline.operators.split import train_test
 from plumbline.operators.training import (
@@ -77,6 +78,24 @@ def first_row_preview(spark, sf_dir):
     return insured(spark, sf_dir).orderBy("id").select("id", "age", "sex", "smoker").limit(1)
 
 
+@query(sql(f"""SELECT CASE WHEN g.r2 > greatest(r.r2, 0) THEN 'second' WHEN r.r2 > 0 THEN 'first' END AS version,
+  round(CASE WHEN g.r2 > greatest(r.r2, 0) THEN g.r2 ELSE r.r2 END, 6) AS r2,
+  round(CASE WHEN g.r2 > greatest(r.r2, 0) THEN g.rmse ELSE r.rmse END, 6) AS rmse,
+  round(CASE WHEN g.r2 > greatest(r.r2, 0) THEN g.mae ELSE r.mae END, 6) AS mae
+FROM ({metrics_sql(GUESS_SQL)}) g, ({metrics_sql(ROUGH_SQL)}) r
+WHERE g.r2 > 0 OR r.r2 > 0"""))
+def registry_champion(spark, sf_dir):
+    """Three challengers in turn, each promoted only if it beats the champion so far."""
+    df = insured(spark, sf_dir)
+    served = PipelineModel(stages=[ColumnTransformer(numeric=["age", "bmi"], categorical=["smoker"]).fit(df)])
+    base = scratch_path(spark, "registry")
+    for version, formula in (("first", ROUGH), ("second", GUESS), ("third", ROUGH)):
+        champion = registry.current(spark, base)
+        decision = compare(regression_metrics(predicted(df, formula)), champion)
+        registry.promote_if_accepted(spark, base, decision, served, version)
+    return rounded(registry.current(spark, base).select("version", "r2", "rmse", "mae"))
+
+
 # The smallest settings that still let one family win by merit.
 TRIAL = {
     "random_forest": {"numTrees": [5], "maxDepth": [4, 6]},
