@@ -32,6 +32,8 @@ STD_FLOOR = 0.001
 # Distinct values that one window task may order, and the buckets of a call together.
 BUCKET_VALUES = 50_000
 MAX_BUCKETS = 20_000
+# Buckets per column of the inexact form.
+SKETCH_BUCKETS = 2_000
 
 
 # Below this estimate the number of distinct values is counted exactly.
@@ -71,19 +73,28 @@ def _bucket_edges(stacked: DataFrame, buckets: Mapping[str, int]) -> dict[str, l
 
 def running_counts(
     ref: DataFrame, cur: DataFrame, cols: Sequence[str], bucket_values: int = BUCKET_VALUES,
-    distinct: Mapping[str, int] | None = None,
+    distinct: Mapping[str, int] | None = None, exact: bool = True,
 ) -> DataFrame:
     """``(column_name, value, cum_ref, cum_cur, n_ref, n_cur, next_value)`` at each distinct
-    value: counts up to it, sample sizes, and the distinct value after it."""
+    value: counts up to it, sample sizes, and the distinct value after it.
+
+    With ``exact`` off there is one such row per bucket, at its largest value. The counts in
+    it are exact, only the course inside a bucket is unknown: a gap between the curves can
+    be missed by at most the share of one bucket. That shuffles bucket totals instead of
+    distinct values.
+    """
     as_double = [F.col(col).cast("double").alias(col) for col in cols]
     ref, cur = ref.select(*as_double), cur.select(*as_double)
     if distinct is None:
         stacked = ref.unionAll(cur)
         distinct = stacked.agg(*[F.approx_count_distinct(col).alias(col) for col in cols]).first().asDict()
     buckets = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS // len(cols)) for col in cols}
+    if not exact:
+        buckets = {col: max(min(distinct[col], SKETCH_BUCKETS), 2) for col in cols}
     if max(buckets.values()) <= 1:
         return _running_counts_whole(ref, cur, cols)
-    return _running_counts_bucketed(ref, cur, _bucket_edges(ref.unionAll(cur), buckets))
+    edges = _bucket_edges(ref.unionAll(cur), buckets)
+    return (_running_counts_bucketed if exact else _running_counts_of_buckets)(ref, cur, edges)
 
 
 def _running_counts_whole(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -99,23 +110,44 @@ def _running_counts_whole(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -
         F.lead("value").over(ordered).alias("next_value"))
 
 
-def _running_counts_bucketed(ref: DataFrame, cur: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
-    cols = list(edges)
-    bucketed = [f"__bucket_{i}" for i in range(len(cols))]
-    cutter = Bucketizer(inputCols=cols, outputCols=bucketed,
-                        splitsArray=[edges[col] for col in cols], handleInvalid="keep")
+def _bucket_cells(ref: DataFrame, cur: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
+    """``(column_name, bucket, value, is_ref)`` of every non-null cell of both samples."""
+    bucketed = [f"__bucket_{i}" for i in range(len(edges))]
+    cutter = Bucketizer(inputCols=list(edges), outputCols=bucketed,
+                        splitsArray=list(edges.values()), handleInvalid="keep")
+    structs = [F.struct(F.lit(col).alias("column_name"), F.col(bucket).cast("int").alias("bucket"),
+                        F.col(col).alias("value")) for col, bucket in zip(edges, bucketed)]
 
     def cells(df: DataFrame, is_ref: bool) -> DataFrame:
-        structs = [F.struct(F.lit(col).alias("column_name"), F.col(bucket).cast("int").alias("bucket"),
-                            F.col(col).alias("value")) for col, bucket in zip(cols, bucketed)]
         return (cutter.transform(df).select(F.inline(F.array(*structs)))
                 .filter(F.col("value").isNotNull() & F.col("bucket").isNotNull())
                 .withColumn("is_ref", F.lit(is_ref)))
 
+    return cells(ref, True).unionAll(cells(cur, False))
+
+
+COUNT_REF, COUNT_CUR = "count_if(is_ref)", "count_if(NOT is_ref)"
+
+
+def _running_counts_of_buckets(ref: DataFrame, cur: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
+    totals = _bucket_cells(ref, cur, edges).groupBy("column_name", "bucket").agg(
+        F.expr(COUNT_REF).alias("n_ref"), F.expr(COUNT_CUR).alias("n_cur"), F.max("value").alias("value"))
+    # At most SKETCH_BUCKETS rows per column.
+    whole = Window.partitionBy("column_name")
+    ordered = whole.orderBy("bucket")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    return totals.select(
+        "column_name", "value",
+        F.sum("n_ref").over(so_far).alias("cum_ref"), F.sum("n_cur").over(so_far).alias("cum_cur"),
+        F.sum("n_ref").over(whole).alias("n_ref"), F.sum("n_cur").over(whole).alias("n_cur"),
+        F.lead("value").over(ordered).alias("next_value"))
+
+
+def _running_counts_bucketed(ref: DataFrame, cur: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
     # Both uses of these counts below share one shuffle, as long as their plans stay equal.
-    counted = (cells(ref, True).unionAll(cells(cur, False)).groupBy("column_name", "bucket", "value")
-               .agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur")))
-    # At most MAX_BUCKETS rows per column: small enough to order in one task and to broadcast.
+    counted = _bucket_cells(ref, cur, edges).groupBy("column_name", "bucket", "value").agg(
+        F.expr(COUNT_REF).alias("n_ref"), F.expr(COUNT_CUR).alias("n_cur"))
+    # At most MAX_BUCKETS rows in all: small enough to order in one task and to broadcast.
     totals = counted.groupBy("column_name", "bucket").agg(
         F.sum("n_ref").alias("b_ref"), F.sum("n_cur").alias("b_cur"), F.min("value").alias("b_min"))
     whole = Window.partitionBy("column_name")
@@ -139,20 +171,21 @@ def _running_counts_bucketed(ref: DataFrame, cur: DataFrame, edges: Mapping[str,
 
 def _curve_scores(
     ref: DataFrame, cur: DataFrame, cols: Sequence[str], bucket_values: int,
-    distinct: Mapping[str, int] | None = None,
+    distinct: Mapping[str, int] | None = None, exact: bool = True,
 ) -> DataFrame:
     """Largest gap and area between the two distribution functions, with sample sizes."""
     gap = F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
-    return running_counts(ref, cur, cols, bucket_values, distinct).groupBy("column_name").agg(
+    return running_counts(ref, cur, cols, bucket_values, distinct, exact).groupBy("column_name").agg(
         F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max(gap).alias("ks"),
         F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("area"))
 
 
 def ks_statistic(
     ref: DataFrame, cur: DataFrame, cols: Sequence[str], bucket_values: int = BUCKET_VALUES,
+    exact: bool = True,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per numeric column, with the sample sizes."""
-    return _curve_scores(ref, cur, cols, bucket_values).select(
+    return _curve_scores(ref, cur, cols, bucket_values, None, exact).select(
         "column_name", "n_ref", "n_cur", F.col("ks").alias("statistic"))
 
 
@@ -170,13 +203,13 @@ def ks(
 
 def wasserstein(
     ref: DataFrame, cur: DataFrame, cols: Sequence[str], threshold: float = DISTANCE,
-    bucket_values: int = BUCKET_VALUES, distinct: Mapping[str, int] | None = None,
+    bucket_values: int = BUCKET_VALUES, distinct: Mapping[str, int] | None = None, exact: bool = True,
 ) -> DataFrame:
     """First Wasserstein distance, also in units of the reference's population deviation."""
     spread = ref.agg(*[F.stddev_pop(F.col(col).cast("double")).alias(f"s{i}") for i, col in enumerate(cols)])
     spread = melt(spread, ["column_name", "std"], [(col, F.col(f"s{i}")) for i, col in enumerate(cols)])
     score = F.col("area") / F.greatest(F.col("std"), F.lit(STD_FLOOR))
-    return (_curve_scores(ref, cur, cols, bucket_values, distinct).join(F.broadcast(spread), "column_name")
+    return (_curve_scores(ref, cur, cols, bucket_values, distinct, exact).join(F.broadcast(spread), "column_name")
             .select("column_name", F.col("area").alias("distance"), score.alias("score"),
                     (score >= F.lit(threshold)).alias("drifted")))
 
@@ -252,6 +285,7 @@ class DriftRules:
     p_value: float = P_VALUE
     distance: float = DISTANCE
     drift_share: float = DRIFT_SHARE
+    exact: bool = True
 
 
 def choose_tests(
@@ -284,7 +318,7 @@ def dataset_drift(
     parts = []
     for test, cols in tests.items():
         if test == "wasserstein":
-            scored = wasserstein(ref, cur, cols, rules.distance, bucket_values, distinct)
+            scored = wasserstein(ref, cur, cols, rules.distance, bucket_values, distinct, rules.exact)
         elif test == "jensen_shannon":
             scored = jensen_shannon(ref, cur, cols, rules.distance)
         elif test == "ks":

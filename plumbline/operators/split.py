@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.quantiles import TASK_VALUES, order_statistics
@@ -21,23 +21,43 @@ def key_hash(key: str, seed: int | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("bigint")
 
 
-def train_test(
+def in_test_sample(
     df: DataFrame, key: str, ratio: float = 0.2, seed: int = 42, exact: bool = False,
     task_values: int = TASK_VALUES,
-) -> tuple[DataFrame, DataFrame]:
-    """Split by the hash of a unique key, without moving a row.
+) -> Column:
+    """Whether a row belongs to the test sample, from the hash of its unique key.
 
     By default a fixed threshold gives about ``ratio`` test rows, and a row stays on its
     side when others come or go. ``exact`` finds the threshold that gives
-    ``ceil(ratio * n)`` test rows.
+    ``ceil(ratio * n)`` test rows. No row moves either way.
     """
     if not 0 < ratio < 1:
         raise ValueError("ratio must be between 0 and 1")
-    is_test = exact_test_side(df, key, ratio, seed, task_values) if exact else (
-        key_hash(key, seed) < F.lit(int(ratio * HASH_RANGE)))
+    if exact:
+        return exact_test_side(df, key, ratio, seed, task_values)
+    return key_hash(key, seed) < F.lit(int(ratio * HASH_RANGE))
+
+
+def train_test(
+    df: DataFrame, key: str, ratio: float = 0.2, seed: int = 42, exact: bool = False,
+    task_values: int = TASK_VALUES,
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test sample as two filters of the same rows."""
+    is_test = in_test_sample(df, key, ratio, seed, exact, task_values)
     return df.filter(~is_test), df.filter(is_test)
 
 
+def write_sides(df: DataFrame, is_test: Column, path: str) -> None:
+    """Store both samples in one pass over the rows, as partitions ``side=train`` and ``side=test``."""
+    side = F.when(is_test, "test").otherwise("train")
+    df.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(path)
+
+
+def read_side(spark: SparkSession, path: str, side: str) -> DataFrame:
+    """One stored sample; the files of the other are not read."""
+    return spark.read.parquet(path).filter(F.col("side") == side).drop("side")
+
+
 def exact_test_side(
     df: DataFrame, key: str, ratio: float, seed: int, task_values: int = TASK_VALUES,
 ) -> Column:

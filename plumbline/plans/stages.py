@@ -23,7 +23,7 @@ from plumbline.operators.drift_tests import DriftRules, dataset_drift
 from plumbline.operators.encode import ColumnTransformerModel, build_matrices
 from plumbline.operators.outliers import winsorise
 from plumbline.operators.scoring import bundle, compare, evaluate
-from plumbline.operators.split import train_test
+from plumbline.operators.split import in_test_sample, read_side, write_sides
 from plumbline.operators.training import (
     MINIMUM_SCORE, families, leaderboard, regression_metrics, require_score, residuals, select_best,
 )
@@ -94,7 +94,7 @@ def _finish(settings: Settings, stage: str, metrics: DataFrame) -> None:
 
 
 def _sample(spark: SparkSession, settings: Settings, side: str) -> DataFrame:
-    return spark.read.parquet(settings.path(side))
+    return read_side(spark, settings.path("samples"), side)
 
 
 def _ingest(spark: SparkSession, settings: Settings) -> None:
@@ -102,9 +102,8 @@ def _ingest(spark: SparkSession, settings: Settings) -> None:
     stored = spark.read.parquet(snapshot(raw, f"{settings.base}/feature_store", settings.run_id))
     # Columns that do not belong stay in, for the checks of the next stage to report.
     typed = normalise_nulls(coerce(stored.drop("run_id"), settings.contract))
-    train, test = train_test(typed, settings.key, settings.test_ratio, settings.seed, settings.exact_split)
-    for side, df in (("train", train), ("test", test)):
-        df.write.mode("overwrite").parquet(settings.path(side))
+    is_test = in_test_sample(typed, settings.key, settings.test_ratio, settings.seed, settings.exact_split)
+    write_sides(typed, is_test, settings.path("samples"))
     samples = [(side, _sample(spark, settings, side)) for side in ("train", "test")]
     _finish(settings, "ingest", sample_metrics(samples))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import profile
 from plumbline.operators.contract import ALLOWED_VALUES, INSURED, VALUE_RANGES, columns_by_type
 from plumbline.operators.quantiles import percentiles
-from plumbline.operators.split import train_test
+from plumbline.operators.split import in_test_sample, read_side, train_test, write_sides
 from plumbline.plans.reports import analysis_report, sample_metrics
 from plumbline.shared import scratch_path
 from plumbline.workload.fixtures import NAMES, insured, insured_dirty, rounded, rounded_report, sql, table
@@ -273,10 +273,9 @@ ANALYSIS_PARTS += [
 
 def stored_split(spark, sf_dir):
     """The two samples as tables, the form in which a run hands them to its later stages."""
-    base = scratch_path(spark, "split")
-    for side, df in zip(("train", "test"), train_test(insured(spark, sf_dir), "id", exact=True)):
-        df.write.parquet(f"{base}/{side}")
-    return spark.read.parquet(f"{base}/train"), spark.read.parquet(f"{base}/test")
+    path, df = scratch_path(spark, "split"), insured(spark, sf_dir)
+    write_sides(df, in_test_sample(df, "id", exact=True), path)
+    return read_side(spark, path, "train"), read_side(spark, path, "test")
 
 
 @query(sql("\nUNION ALL\n".join(ANALYSIS_PARTS)))

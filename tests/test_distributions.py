@@ -65,6 +65,16 @@ def test_curve_tests_match_brute_force(spark, bucket_values):
         assert areas[col] == (pytest.approx(area), pytest.approx(area / np.std(ref[col])))
 
 
+def test_bucket_curves_are_close_and_never_above(spark):
+    rng = np.random.default_rng(6)
+    ref, cur = rng.normal(0, 1, 900).tolist(), (rng.normal(0.4, 1, 600).tolist() + [0.5] * 300)
+    a, b = frame(spark, x=ref), frame(spark, x=cur)
+    gap, area = curve(ref, cur)
+    close = by_column(drift_tests.ks_statistic(a, b, ["x"], exact=False), "statistic")["x"]
+    assert gap - 0.01 <= close <= gap + 1e-12
+    assert by_column(drift_tests.wasserstein(a, b, ["x"], exact=False), "distance")["x"] == pytest.approx(area, rel=0.05)
+
+
 def test_tail_probabilities():
     assert drift_tests.chi_square_sf(3.841458820694124, 1) == pytest.approx(0.05)
     assert drift_tests.chi_square_sf(5.991464547107979, 2) == pytest.approx(0.05)
