@@ -106,7 +106,7 @@ def winsorise(
     near = {(col, rank): look.ends[col, p]
             for col in filled for rank, p in zip(ends[col], (lower, 1.0 - upper))}
     values = order_statistics(
-        df, {col: list(pair) for col, pair in ends.items()}, counts, task_values, look.distinct, near)
+        df, {col: list(pair) for col, pair in ends.items()}, counts, task_values, near)
     clipped = {}
     for col in filled:
         lo, hi = (F.lit(values[col, rank]) for rank in ends[col])

@@ -4,8 +4,9 @@ Spark's exact ``percentile`` keeps one entry per distinct value in a single redu
 Here it only ever sees a checked number of values. A larger column is narrowed
 first: a mergeable sketch proposes an interval around each wanted rank, one counting
 pass proves which side of the interval the rank is on, and the interval shrinks until
-few enough values are left. Each pass returns one row, so nothing but counts and
-interval ends reaches the driver, and a hot value costs no more than any other.
+few enough values are left. A value that many rows share is its own interval end, so
+the counting pass settles it: hot values and columns of few values are the cheap case.
+Each pass returns one row, so only counts and interval ends reach the driver.
 """
 
 from __future__ import annotations
@@ -81,8 +82,8 @@ def _read_exactly(df: DataFrame, searches: Sequence[_Search]) -> None:
             search.value = value
 
 
-def _propose(df: DataFrame, searches: Sequence[_Search], with_distinct: bool) -> tuple[dict, dict]:
-    """Sketch pass: interval ends for each search and, once, the number of distinct values."""
+def _propose(df: DataFrame, searches: Sequence[_Search]) -> dict[int, tuple[float, float]]:
+    """Sketch pass: interval ends for each search."""
     groups = list(_by_interval(searches).items())
     aggs = []
     for i, ((col, lo, hi), members) in enumerate(groups):
@@ -90,18 +91,10 @@ def _propose(df: DataFrame, searches: Sequence[_Search], with_distinct: bool) ->
         for search in members:
             at = (search.rank - search.below) / max(search.inside - 1, 1)
             points += [max(0.0, at - MARGIN), min(1.0, at + MARGIN)]
-        values = _inside(col, lo, hi)
-        aggs.append(F.percentile_approx(values.cast("double"), points, ACCURACY).alias(f"q{i}"))
-        if with_distinct:
-            aggs.append(F.approx_count_distinct(values).alias(f"d{i}"))
+        aggs.append(F.percentile_approx(_inside(col, lo, hi), points, ACCURACY).alias(f"q{i}"))
     row = df.agg(*aggs).first()
-    ends, distinct = {}, {}
-    for i, ((col, _, _), members) in enumerate(groups):
-        for j, search in enumerate(members):
-            ends[id(search)] = (row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1])
-        if with_distinct:
-            distinct[col] = row[f"d{i}"]
-    return ends, distinct
+    return {id(search): (row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1])
+            for i, (_, members) in enumerate(groups) for j, search in enumerate(members)}
 
 
 def _count_around(df: DataFrame, points: Sequence[tuple[str, float]]) -> dict[tuple, tuple[int, int]]:
@@ -135,11 +128,10 @@ def _narrow(search: _Search, lo: float, hi: float, counts: Mapping) -> None:
 
 @dataclass(frozen=True)
 class FirstLook:
-    """What one scan tells about columns: counts, about how many distinct values, an interval
-    around each wanted quantile, and whatever else was asked for."""
+    """What one scan tells about columns: counts, an interval around each wanted quantile,
+    and whatever else was asked for."""
 
     counts: dict[str, int]
-    distinct: dict[str, int]
     ends: dict[tuple[str, float], tuple[float, float]]
     extra: Row
 
@@ -153,26 +145,24 @@ def first_look(
         points += [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
     for i, col in enumerate(cols):
         x = F.col(col).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.approx_count_distinct(x).alias(f"d{i}"),
-                 F.percentile_approx(x, points, ACCURACY).alias(f"q{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, points, ACCURACY).alias(f"q{i}")]
     row = df.agg(*aggs, *extra).first()
     ends = {(col, p): tuple(row[f"q{i}"][2 * j:2 * j + 2])
             for i, col in enumerate(cols) if row[f"n{i}"] for j, p in enumerate(ps)}
-    return FirstLook({col: row[f"n{i}"] for i, col in enumerate(cols)},
-                     {col: row[f"d{i}"] for i, col in enumerate(cols)}, ends, row)
+    return FirstLook({col: row[f"n{i}"] for i, col in enumerate(cols)}, ends, row)
 
 
 def order_statistics(
     df: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
-    task_values: int = TASK_VALUES, distinct: Mapping[str, int] | None = None,
+    task_values: int = TASK_VALUES,
     proposals: Mapping[tuple[str, int], tuple[float, float]] | None = None,
 ) -> dict[tuple[str, int], float]:
     """Value at each 0-based rank among the non-null values of each column.
 
-    ``counts`` holds the number of non-null values per column. ``distinct`` and
-    ``proposals`` (interval ends per column and rank) save the first sketch pass where
-    they are known; a poor proposal costs a pass, never the result. Values are compared
-    as doubles, so whole numbers beyond 2**53 lose their last digits.
+    ``counts`` holds the number of non-null values per column. ``proposals`` (interval
+    ends per column and rank) save the first sketch pass where they are known; a poor
+    proposal costs a pass, never the result. Values are compared as doubles, so whole
+    numbers beyond 2**53 lose their last digits.
     """
     searches = [
         _Search(col, rank, 0, counts[col])
@@ -182,27 +172,12 @@ def order_statistics(
     while True:
         open_ = [s for s in searches if s.value is None]
         share = task_values // max(len(_by_interval(open_)), 1)
-
-        def fits(search: _Search) -> bool:
-            # A column of few distinct values fits one task however many rows repeat them.
-            return search.inside <= share or (
-                search.lo is None and search.hi is None and distinct is not None
-                and distinct[search.col] * 1.2 <= share)
-
-        big = [s for s in open_ if not fits(s)]
+        big = [s for s in open_ if s.inside > share]
         if not big:
             _read_exactly(df, open_)
             break
-        if proposals:
-            ends = {id(s): proposals[s.col, s.rank] for s in big}
-            proposals = None
-        else:
-            ends, found = _propose(df, big, with_distinct=distinct is None)
-            if distinct is None:
-                distinct = {**{col: counts[col] for col in ranks}, **found}
-                big = [s for s in big if not fits(s)]
-                if not big:
-                    continue
+        ends = {id(s): proposals[s.col, s.rank] for s in big} if proposals else _propose(df, big)
+        proposals = None
         points = sorted({(s.col, end) for s in big for end in ends[id(s)]})
         exact = _count_around(df, points)
         for search in big:
@@ -236,7 +211,7 @@ def interpolated(
         for rank in ([lower, upper] if weight > 0 else [lower]):
             ranks[col].append(rank)
             proposals[col, rank] = look.ends[col, p]
-    values = order_statistics(df, ranks, look.counts, task_values, look.distinct, proposals)
+    values = order_statistics(df, ranks, look.counts, task_values, proposals)
     for (col, p), (lower, upper, weight) in positions.items():
         at = values[col, lower]
         result[col, p] = at + weight * (values[col, upper] - at) if weight > 0 else at

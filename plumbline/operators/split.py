@@ -71,7 +71,7 @@ def exact_test_side(
     near = {("__hash", wanted - 1): (centre - reach, centre + reach)}
     cut = int(order_statistics(
         hashed.select("__hash"), {"__hash": [wanted - 1]}, {"__hash": n}, task_values,
-        {"__hash": n}, near)["__hash", wanted - 1])
+        near)["__hash", wanted - 1])
     row = hashed.agg(F.count_if(F.col("__hash") < cut).alias("below"),
                      F.count_if(F.col("__hash") == cut).alias("tied")).first()
     take = wanted - row["below"]
