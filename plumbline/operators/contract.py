@@ -146,8 +146,11 @@ def check_types(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
-    """Cast declared columns to their types; values that do not parse become null."""
-    casts = {}
+    """Cast declared columns to their types; values that do not parse become null.
+
+    A fraction in a whole-number column is such a value too: it is not cut off.
+    """
+    casts, kinds = {}, dict(df.dtypes)
     for name, kind in contract.columns:
         if name not in df.columns:
             continue
@@ -157,7 +160,10 @@ def coerce(df: DataFrame, contract: Contract) -> DataFrame:
             number = F.col(name).try_cast("double")
             casts[name] = F.when(~F.isnan(number), number)
         else:
-            casts[name] = F.col(name).try_cast("bigint")
+            whole = F.col(name).try_cast("bigint")
+            if kinds[name] in ("float", "double") or kinds[name].startswith("decimal"):
+                whole = F.when(whole == F.col(name), whole)
+            casts[name] = whole
     return df.withColumns(casts)
 
 

@@ -25,7 +25,7 @@ from plumbline.operators.outliers import winsorise
 from plumbline.operators.scoring import bundle, compare, evaluate
 from plumbline.operators.split import in_test_sample, read_side, write_sides
 from plumbline.operators.training import (
-    MINIMUM_SCORE, families, leaderboard, regression_metrics, require_score, residuals, select_best,
+    MINIMUM_SCORE, families, leaderboard, require_score, residuals, select_best,
 )
 from plumbline.plans.reports import WINSORISED, analysis_report, sample_metrics, stage_metrics
 from plumbline.sources import registry

@@ -28,11 +28,6 @@ def request_stream(
     return reader.load(path)
 
 
-def judged_stream(stream: DataFrame) -> DataFrame:
-    """Every request with its typed fields and, if it was refused, the reason."""
-    return judge_requests(stream)
-
-
 def score_stream(model: Model, stream: DataFrame) -> DataFrame:
     """Predictions of the accepted requests; no state, so any number of executors helps."""
     return score(model, accepted_requests(judge_requests(stream)))

@@ -48,6 +48,11 @@ def test_coerce_makes_bad_numbers_null(spark):
     assert dict(c.coerce(df, c.INSURED).dtypes)["age"] == "bigint"
 
 
+def test_coerce_does_not_cut_fractions(spark):
+    df = literal_rows(spark, "age double", [(31.0,), (31.5,), (float("nan"),), (None,)])
+    assert [r.age for r in c.coerce(df, c.INSURED).collect()] == [31, None, None, None]
+
+
 def test_columns_by_type(good):
     assert c.columns_by_type(good, "numeric") == ["age", "bmi", "children", "charges"]
     assert c.columns_by_type(good, "text") == ["sex", "smoker", "region"]

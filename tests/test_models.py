@@ -83,7 +83,8 @@ def metrics(spark, r2):
     return literal_rows(spark, "n bigint, r2 double, rmse double, mae double", [(10, r2, 1.0, 1.0)])
 
 
-@pytest.mark.parametrize("ours, theirs, accepted", [(0.8, None, True), (-0.1, None, False), (0.8, 0.8, False), (0.81, 0.8, True)])
+@pytest.mark.parametrize("ours, theirs, accepted", [
+    (0.8, None, True), (-0.1, None, False), (0.8, 0.8, False), (0.81, 0.8, True)])
 def test_acceptance(spark, ours, theirs, accepted):
     row = compare(metrics(spark, ours), None if theirs is None else metrics(spark, theirs)).first()
     assert row.accepted is accepted and row.difference == pytest.approx(ours - (theirs or 0))
@@ -121,7 +122,8 @@ def test_stream_and_batch_score_the_same(spark, sf_dir, model):
     asked = requests(spark, sf_dir)
     asked.repartition(3).write.parquet(arrived)
     for _ in range(2):  # the second run finds nothing new
-        write_available(score_stream(model, request_stream(spark, arrived, files_per_trigger=1)), done, offsets).awaitTermination()
+        stream = request_stream(spark, arrived, files_per_trigger=1)
+        write_available(score_stream(model, stream), done, offsets).awaitTermination()
     streamed = {r.id: r.display for r in spark.read.parquet(done).collect()}
     batch = {r.id: r.display for r in score(model, parse_requests(asked)[0]).collect()}
     assert streamed == batch and spark.read.parquet(done).count() == len(batch)
