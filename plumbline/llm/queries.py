@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, simhash
+from plumbline.llm import boilerplate, decontaminate, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,39 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    host = boilerplate.host_of(F.col("url"))
+    found = boilerplate.drop_boilerplate(pages.select("page_id", host.alias("host"), "url", "html"),
+                                         F.col("host"), boilerplate.page_text(F.col("html")))
+    return found.select("page_id", "host", "n_lines", "n_dropped",
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+ORACLES["op7_line_dedup"] = f"""
+WITH lines AS (
+  SELECT page_id, coalesce(regexp_extract(url, '{boilerplate.HOST}', 1), '') AS host, u.line, u.i,
+    trim(regexp_replace(u.line, '{boilerplate.BLANKS}', ' ', 'g')) AS plain
+  FROM pages, unnest(string_split(regexp_replace(html, '{boilerplate.MARKUP}', chr(10), 'g'), chr(10)))
+    WITH ORDINALITY AS u(line, i)),
+sizes AS (
+  SELECT coalesce(regexp_extract(url, '{boilerplate.HOST}', 1), '') AS host, count(*) AS n FROM pages GROUP BY 1),
+common AS (
+  SELECT l.host, l.plain FROM lines l JOIN sizes s ON l.host = s.host WHERE l.plain <> ''
+  GROUP BY l.host, l.plain, s.n
+  HAVING count(DISTINCT page_id) >= {boilerplate.LEAST_PAGES} AND count(DISTINCT page_id) > s.n * {boilerplate.MOST_SHARE}),
+marked AS (
+  SELECT l.*, c.plain IS NOT NULL AS gone FROM lines l LEFT JOIN common c ON l.host = c.host AND l.plain = c.plain)
+SELECT page_id, host, count(*) FILTER (plain <> '') AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS text_sha256
+FROM marked GROUP BY page_id, host
+"""
+
+
+@_query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
