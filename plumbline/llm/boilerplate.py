@@ -9,7 +9,7 @@ from plumbline.llm.common import quoted
 
 #: A line on more than this share of a site's pages, and on so many at least, is boilerplate.
 MOST_SHARE = 0.1
-LEAST_PAGES = 5
+LEAST_PAGES = 3
 #: A site with more than this share of all pages is dealt to several tasks.
 HOT_SHARE = 0.001
 #: Markup that separates lines, and addresses whose first group is the host. Fixed patterns, also valid in SQL.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, mixing, simhash
+from plumbline.llm import boilerplate, decontaminate, mixing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,8 @@ FROM marked GROUP BY page_id, host
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
