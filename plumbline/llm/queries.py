@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, mixing, quality, simhash
+from plumbline.llm import boilerplate, decontaminate, mixing, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@_query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.repeated_spans(_table(spark, sf_dir, "documents"))
+    total = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
+    each = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return found.select("doc_id", "n_units", F.size("spans").cast("long").alias("n_spans"),
+                        total.alias("removed_words"), F.array_join(each, ",").alias("spans"))
+
+
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
