@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, mixing, quality, simhash, substring
+from plumbline.llm import boilerplate, decontaminate, mixing, neighbours, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@_query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeated_spans(_table(spark, sf_dir, "documents"))
