@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, mixing, neighbours, quality, secrets, simhash, substring
+from plumbline.llm import boilerplate, decontaminate, licences, mixing, neighbours, quality, secrets, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         total.alias("removed_words"), F.array_join(each, ",").alias("spans"))
 
 
+@_query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.find_licences(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"),
+                        F.array_join("sentences", ",").alias("sentences"), "unknown")
+
+
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
