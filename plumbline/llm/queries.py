@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, licences, mixing, neighbours, quality, secrets, simhash, substring
+from plumbline.llm import boilerplate, decontaminate, licences, mixing, neighbours, quality, secrets, simhash, substring, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,6 +103,13 @@ FROM marked GROUP BY page_id, host
 """
 
 
+@_query
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.replace_personal(_table(spark, sf_dir, "documents"), key="a key of the owner's choice")
+    return found.select("doc_id", *[f"n_{kind}" for kind in surrogates.KINDS], F.length("text").alias("n_chars"),
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 @_query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(_table(spark, sf_dir, "documents"))
