@@ -37,3 +37,20 @@ def row_key(row_id: Column | str, text: Column | str) -> Column:
 def uniform(*cells: Column) -> Column:
     """A number in [0, 1) that depends on the given cells only."""
     return F.shiftrightunsigned(F.xxhash64(*cells), 11) / F.lit(float(1 << 53))
+
+
+#: Keys with more than this share of all rows are hot: there are at most ``1 / HOT_KEYS`` of them.
+HOT_KEYS = 1e-4
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join of rows with a stored table of groups, whose column ``count`` has the size of each.
+
+    Groups of more than ``HOT_KEYS`` of all rows are so few that they are broadcast, and their rows stay where
+    they are. The rows of the others are dealt by key; none of these groups is large.
+    """
+    hot = F.col(count) > total * HOT_KEYS
+    few = F.broadcast(groups.where(hot).withColumn("_hot", F.lit(True)))
+    known = rows.join(few, keys, "left")
+    rest = known.where(F.col("_hot").isNull()).select(*rows.columns)
+    return known.where("_hot").drop("_hot").unionByName(rest.join(groups.where(~hot), keys))

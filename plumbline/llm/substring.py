@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import quoted, store, without
+from plumbline.llm.common import join_groups, quoted, store, without
 
 #: Repeated units that stand side by side go if they hold so many words together.
 LEAST_WORDS = 20
@@ -72,10 +72,10 @@ def _with_units(docs: DataFrame, text_col: str) -> DataFrame:
 def _removed(units: DataFrame) -> DataFrame:
     """``(_row, spans)``: what goes of each row, from rows ``(_row, _id, unit, start, end, words, high, low)``."""
     place = F.struct("_id", "_row", "unit")
-    first = (units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-             .where("n > 1").drop("n"))
-    again = units.join(first, ["high", "low"]).where(place != F.col("first")) \
-        .select("_row", "unit", "start", "end", "words")
+    first = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    first = store(first, "first")
+    again = (join_groups(units, first, ["high", "low"], "n", units.count()).where(place != F.col("first"))
+             .select("_row", "unit", "start", "end", "words"))
     beside = F.row_number().over(Window.partitionBy("_row").orderBy("unit"))
     runs = (again.withColumn("run", F.col("unit") - beside).groupBy("_row", "run")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
@@ -99,8 +99,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = docs.select(quoted(id_col).alias("_id"), quoted(text_col).cast("string").alias("text"))
     rows = store(_with_units(rows, "text").drop("text"), "units")
-    return (rows.join(_removed(_exploded(rows)), "_row", "left")
-            .select(F.col("_id").alias(id_col), F.size("_units").cast("long").alias("n_units"), _or_none("spans")))
+    counts = rows.select("_row", F.col("_id").alias(id_col), F.size("_units").cast("long").alias("n_units"))
+    return counts.join(_removed(_exploded(rows)), "_row", "left").select(id_col, "n_units", _or_none("spans"))
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
