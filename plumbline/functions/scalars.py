@@ -52,15 +52,27 @@ def currency(col: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(col, 2))
 
 
+#: Plain decimal notation; Java's own endings and hexadecimal forms are no numbers here.
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def to_long(col: Column) -> Column:
     """Whole number from text, null when it does not parse."""
     return F.trim(col).try_cast("bigint")
 
 
 def to_double(col: Column) -> Column:
-    """Number from text, null when it does not parse or is not a number."""
-    number = F.trim(col).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Number from text in decimal notation, null when it is none or too large."""
+    number = F.when(col.rlike(DECIMAL), F.trim(col).try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+def whole_number(col: Column, kind: str = "bigint") -> Column:
+    """Whole number from text, also written as ``2.0`` or ``1e2``; null when it has a fraction."""
+    exact = F.when(col.rlike(DECIMAL), F.trim(col).try_cast("decimal(38,10)"))
+    by_exponent = F.trim(col).try_cast("double")
+    spelled = F.when(by_exponent == F.floor(by_exponent), by_exponent.try_cast(kind))
+    return F.when(exact.isNotNull(), F.when(exact == F.floor(exact), exact.try_cast(kind))).when(col.rlike(DECIMAL), spelled)
 
 
 def unquote(col: Column) -> Column:

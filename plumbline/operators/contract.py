@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.scalars import to_double, to_long
+from plumbline.functions.scalars import to_double, to_long, whole_number
 from plumbline.shared import literal_rows, melt
 
 
 @dataclass(frozen=True)
 class Contract:
-    """Declared columns with their kinds (``int``, ``float``, ``category``) and roles."""
+    """Declared columns with their kinds (``int``, ``float``, ``category``) and roles, and what a request may hold."""
 
     columns: tuple[tuple[str, str], ...]
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
     target: str
+    form_bounds: Mapping[str, tuple[float, float]] = field(default_factory=dict, hash=False)
+    choices: Mapping[str, Sequence[str]] = field(default_factory=dict, hash=False)
 
     @property
     def names(self) -> list[str]:
@@ -34,16 +36,7 @@ class Contract:
 
 SPARK_TYPES = {"int": T.LongType(), "float": T.DoubleType(), "category": T.StringType()}
 
-# The declared schema, value ranges, category lists and form bounds.
-INSURED = Contract(
-    columns=(
-        ("age", "int"), ("sex", "category"), ("bmi", "float"), ("children", "int"),
-        ("smoker", "category"), ("region", "category"), ("charges", "float"),
-    ),
-    numeric=("age", "bmi", "children", "charges"),
-    categorical=("sex", "smoker", "region"),
-    target="charges",
-)
+# The declared schema, value ranges, category lists, form bounds and messages.
 VALUE_RANGES = {"age": (18, 100), "bmi": (10, 60)}
 ALLOWED_VALUES = {
     "sex": ["male", "female"],
@@ -53,6 +46,19 @@ ALLOWED_VALUES = {
 FORM_BOUNDS = {"age": (18, 100), "bmi": (15, 50), "children": (0, 10)}
 MISSING_FIELD = "Please fill all fields!"
 INVALID_PREFIX = "Invalid input data: "
+DRIFT_FOUND = "Data drift detected between train and test sets"
+NO_DRIFT = "No data drift detected"
+INSURED = Contract(
+    columns=(
+        ("age", "int"), ("sex", "category"), ("bmi", "float"), ("children", "int"),
+        ("smoker", "category"), ("region", "category"), ("charges", "float"),
+    ),
+    numeric=("age", "bmi", "children", "charges"),
+    categorical=("sex", "smoker", "region"),
+    target="charges",
+    form_bounds=FORM_BOUNDS,
+    choices=ALLOWED_VALUES,
+)
 
 
 def normalise_nulls(df: DataFrame) -> DataFrame:
@@ -145,26 +151,38 @@ def check_types(df: DataFrame, contract: Contract) -> DataFrame:
         type_mismatches(df, contract))
 
 
+def _typed(name: str, kind: str, source: str) -> Column:
+    """A declared column cast to its kind; null where a value is not of it."""
+    if kind == "category":
+        return F.col(name).cast("string")
+    if kind == "float":
+        number = to_double(F.col(name)) if source == "string" else F.col(name).try_cast("double")
+        return F.when(~F.isnan(number), number)
+    if source in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(name).cast("bigint")
+    return whole_number(F.col(name).cast("string"))
+
+
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     """Cast declared columns to their types; values that do not parse become null.
 
-    A fraction in a whole-number column is such a value too: it is not cut off.
+    Whole numbers may be spelled ``42.0`` or ``1e2``. A fraction in a whole-number column is
+    a value that does not parse: it is not cut off, and ``coercion_losses`` names it.
     """
-    casts, kinds = {}, dict(df.dtypes)
-    for name, kind in contract.columns:
-        if name not in df.columns:
-            continue
-        if kind == "category":
-            casts[name] = F.col(name).cast("string")
-        elif kind == "float":
-            number = F.col(name).try_cast("double")
-            casts[name] = F.when(~F.isnan(number), number)
-        else:
-            whole = F.col(name).try_cast("bigint")
-            if kinds[name] in ("float", "double") or kinds[name].startswith("decimal"):
-                whole = F.when(whole == F.col(name), whole)
-            casts[name] = whole
-    return df.withColumns(casts)
+    kinds = dict(df.dtypes)
+    return df.withColumns({name: _typed(name, kind, kinds[name])
+                           for name, kind in contract.columns if name in kinds})
+
+
+def coercion_losses(df: DataFrame, contract: Contract, key: str) -> DataFrame:
+    """``(key, column_name, value)`` of every value that ``coerce`` turns to null."""
+    kinds = dict(df.dtypes)
+    cells = [F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value"),
+                      _typed(name, kind, kinds[name]).isNull().alias("lost"))
+             for name, kind in contract.columns if name in kinds and kind != "category"]
+    rows = df.select(F.col(key).alias("key"), F.inline(F.array(*cells)))
+    missing = F.col("value").isNull() | F.lower("value").isin("nan", "")
+    return rows.filter(F.col("lost") & ~missing).drop("lost")
 
 
 def judge_requests(df: DataFrame, contract: Contract = INSURED, form_bounds: bool = True) -> DataFrame:
@@ -189,9 +207,9 @@ def judge_requests(df: DataFrame, contract: Contract = INSURED, form_bounds: boo
         typed[name] = F.col(f"typed_{name}")
         reject(typed[name].isNull(), f"{INVALID_PREFIX}{name} is not a {noun}")
     if form_bounds:
-        for name, (lo, hi) in FORM_BOUNDS.items():
+        for name, (lo, hi) in contract.form_bounds.items():
             reject(outside(typed[name], lo, hi), f"{INVALID_PREFIX}{name} is out of range")
-    for name, allowed in ALLOWED_VALUES.items():
+    for name, allowed in contract.choices.items():
         reject(~F.col(name).isin(allowed), f"{INVALID_PREFIX}{name} is not a known choice")
     # Parsed once here, behind a generator: a filter on the reason would otherwise be merged
     # with the casts, and repeat them in code too long for the JVM to compile.
@@ -247,9 +265,9 @@ def validate(
         return Validation(False, " ".join(problems), flags)
     drifted = None if drift is None else bool(drift(train, test))
     if drifted:
-        message = "Data drift detected between train and test sets"
+        message = DRIFT_FOUND
     else:
-        message = "No data drift detected"
+        message = NO_DRIFT
     return Validation(True, message, flags, drifted)
 
 

@@ -60,7 +60,7 @@ def mean_drift(
     for i, col in enumerate(cols):
         score = _difference(F.col(f"r{i}"), F.col(f"c{i}"), denominator)
         entries.append((col, F.col(f"r{i}"), F.col(f"c{i}"), score,
-                        F.coalesce(score > F.lit(threshold), F.lit(False))))
+                        F.coalesce((score > F.lit(threshold)) & ~F.isnan(score), F.lit(False))))
     return melt(paired, ["column_name", "reference_mean", "current_mean", "score", "drifted"], entries)
 
 

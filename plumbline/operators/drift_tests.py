@@ -29,27 +29,26 @@ DISTANCE = 0.1
 DRIFT_SHARE = 0.5
 STD_FLOOR = 0.001
 
-# Distinct values that one window task may order, and the buckets of a call together.
+# Distinct values that one window task may order, and the most buckets of a pass. Beyond
+# their product (a billion distinct values) a column's buckets grow, as its edges must fit a task.
 BUCKET_VALUES = 50_000
 MAX_BUCKETS = 20_000
 # Buckets per column of the inexact form.
 SKETCH_BUCKETS = 2_000
 
 
-# Below this estimate the number of distinct values is counted exactly.
-COUNTED_EXACTLY = 50
-
-
-def distinct_counts(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> tuple[int, dict[str, int]]:
-    """Rows of the reference, and how many distinct values each column has in both samples:
-    exact where they are few, an estimate otherwise."""
+def distinct_counts(
+    ref: DataFrame, cur: DataFrame, cols: Sequence[str], few_values: int = FEW_VALUES,
+) -> tuple[int, dict[str, int]]:
+    """Rows of the reference, and how many distinct values each column has in both samples: exact where
+    they could be ``few_values`` or fewer (the estimate's error is far below a factor of two), else an estimate."""
     stacked = (ref.select(*cols, F.lit(1).alias("__ref"))
                .unionAll(cur.select(*cols, F.lit(0).alias("__ref"))))
     row = stacked.agg(
         F.sum("__ref").alias("rows"),
         *[F.approx_count_distinct(col).alias(f"d{i}") for i, col in enumerate(cols)]).first()
     distinct = {col: row[f"d{i}"] for i, col in enumerate(cols)}
-    few = [col for col in cols if distinct[col] <= COUNTED_EXACTLY]
+    few = [col for col in cols if distinct[col] <= 2 * few_values + 40]
     if few:
         values = tall(stacked, few).filter(F.col("value").isNotNull()).distinct()
         exact = values.groupBy("column_name").count().collect()
@@ -88,15 +87,32 @@ def running_counts(
     if distinct is None:
         stacked = ref.unionAll(cur)
         distinct = stacked.agg(*[F.approx_count_distinct(col).alias(col) for col in cols]).first().asDict()
-    buckets = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS // len(cols)) for col in cols}
+    buckets = {col: min(math.ceil(1.1 * distinct[col] / bucket_values), MAX_BUCKETS) for col in cols}
     if not exact:
         buckets = {col: max(min(distinct[col], SKETCH_BUCKETS), 2) for col in cols}
+    groups = _together(buckets)
+    if len(groups) > 1:
+        return reduce(DataFrame.unionAll, [
+            running_counts(ref, cur, group, bucket_values, distinct, exact) for group in groups])
     if max(buckets.values()) <= 1:
         return _running_counts_whole(ref, cur, cols)
     edges = _bucket_edges(ref.unionAll(cur), buckets)
     return (_running_counts_bucketed if exact else _running_counts_of_buckets)(ref, cur, edges)
 
 
+def _together(buckets: Mapping[str, int]) -> list[list[str]]:
+    """Columns in groups of at most ``MAX_BUCKETS`` buckets; each group is a pass of its own."""
+    groups: list[list[str]] = []
+    room = 0
+    for col, number in buckets.items():
+        if not groups or number > room:
+            groups.append([])
+            room = MAX_BUCKETS
+        groups[-1].append(col)
+        room -= number
+    return groups
+
+
 def _running_counts_whole(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """For columns whose distinct values fit a bucket each: one window per column."""
     counted = side_counts(ref, cur, cols, "double").filter(F.col("value").isNotNull())
@@ -211,7 +227,7 @@ def wasserstein(
     score = F.col("area") / F.greatest(F.col("std"), F.lit(STD_FLOOR))
     return (_curve_scores(ref, cur, cols, bucket_values, distinct, exact).join(F.broadcast(spread), "column_name")
             .select("column_name", F.col("area").alias("distance"), score.alias("score"),
-                    (score >= F.lit(threshold)).alias("drifted")))
+                    F.coalesce((score >= F.lit(threshold)) & ~F.isnan(score), F.lit(False)).alias("drifted")))
 
 
 def jensen_shannon(
@@ -280,6 +296,9 @@ def proportion_z(ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_value: f
 class DriftRules:
     """Which test a column gets, and when it counts as drifted."""
 
+    #: With this on, up to ``small_sample`` reference rows get the tests with p-values. Off, a column's
+    #: test depends on its kind alone, so more rows never swap it.
+    by_sample_size: bool = False
     small_sample: int = SMALL_SAMPLE
     few_values: int = FEW_VALUES
     p_value: float = P_VALUE
@@ -291,11 +310,11 @@ class DriftRules:
 def choose_tests(
     rows: int, distinct: Mapping[str, int], contract: Contract, rules: DriftRules,
 ) -> dict[str, list[str]]:
-    """Test name to columns, by the reference's row count and the number of distinct values."""
+    """Test name to columns, by the kind of column and, if the rules say so, the reference's rows."""
     tests: dict[str, list[str]] = {}
     for name, number in distinct.items():
         counted = name in contract.categorical or number <= rules.few_values
-        if rows > rules.small_sample:
+        if not rules.by_sample_size or rows > rules.small_sample:
             test = "jensen_shannon" if counted else "wasserstein"
         elif counted:
             test = "chi_square" if number > 2 else "proportion_z"
@@ -307,16 +326,19 @@ def choose_tests(
 
 def dataset_drift(
     ref: DataFrame, cur: DataFrame, contract: Contract, rules: DriftRules = DriftRules(),
-    bucket_values: int = BUCKET_VALUES,
+    bucket_values: int = BUCKET_VALUES, tests: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Per column: test, score, flag; and on every row the number and share of drifted
-    columns and the dataset flag (share at or above ``drift_share``)."""
+    columns and the dataset flag (share at or above ``drift_share``). ``tests`` names the test of
+    single columns; the rules choose for the others."""
     names = [name for name in contract.names if name in ref.columns and name in cur.columns]
     ref, cur = ref.select(*names), cur.select(*names)
-    rows, distinct = distinct_counts(ref, cur, names)
-    tests = choose_tests(rows, distinct, contract, rules)
+    rows, distinct = distinct_counts(ref, cur, names, rules.few_values)
+    chosen = choose_tests(rows, {name: n for name, n in distinct.items() if name not in (tests or {})}, contract, rules)
+    for name, test in (tests or {}).items():
+        chosen.setdefault(test, []).append(name)
     parts = []
-    for test, cols in tests.items():
+    for test, cols in chosen.items():
         if test == "wasserstein":
             scored = wasserstein(ref, cur, cols, rules.distance, bucket_values, distinct, rules.exact)
         elif test == "jensen_shannon":
@@ -350,17 +372,34 @@ def kolmogorov_sf(statistic: float, n_ref: int, n_cur: int) -> float:
 
 
 def chi_square_sf(statistic: float, freedom: int) -> float:
-    """Tail probability of the chi-square distribution, by the recurrence over the freedom."""
+    """Tail probability of the chi-square distribution: the upper incomplete gamma function, by its
+    series below the mean and by its continued fraction above; the steps don't grow with the categories."""
     if freedom <= 0 or statistic <= 0:
         return 1.0
     if math.isinf(statistic):
         return 0.0
-    half = statistic / 2.0
-    if freedom % 2:
-        tail, at = math.erfc(math.sqrt(half)), 0.5
-    else:
-        tail, at = math.exp(-half), 1.0
-    while at < freedom / 2.0:
-        tail += math.exp(at * math.log(half) - half - math.lgamma(at + 1.0))
-        at += 1.0
-    return min(tail, 1.0)
+    a, x = freedom / 2.0, statistic / 2.0
+    if a > 1e6:  # Wilson-Hilferty: exact to about 1 / a here
+        z = ((x / a) ** (1 / 3) - (1 - 1 / (9 * a))) * math.sqrt(9 * a)
+        return math.erfc(z / math.sqrt(2.0)) / 2.0
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-16:
+            n += 1
+            term *= x / n
+            total += term
+        return min(max(1.0 - total * scale, 0.0), 1.0)
+    b, tiny = x + 1 - a, 1e-300
+    c, d = 1 / tiny, 1 / b
+    h, step, i = d, 0.0, 0
+    while abs(step - 1.0) > 1e-15 and i < 100_000:
+        i += 1
+        b += 2.0
+        an = -i * (i - a)
+        d = 1 / (an * d + b or tiny)
+        c = b + an / c or tiny
+        step = c * d
+        h *= step
+    return min(max(h * scale, 0.0), 1.0)

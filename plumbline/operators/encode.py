@@ -24,9 +24,12 @@ class _EncoderParams(HasOutputCol):
     numeric = Param(Params._dummy(), "numeric", "columns to scale", TypeConverters.toListString)
     categorical = Param(Params._dummy(), "categorical", "columns to encode", TypeConverters.toListString)
 
+    maxCategories = Param(Params._dummy(), "maxCategories", "most categories per column, on average",
+                          TypeConverters.toInt)
+
     def __init__(self, *args):
         super().__init__(*args)
-        self._setDefault(outputCol="features")
+        self._setDefault(outputCol="features", maxCategories=MAX_CATEGORIES)
 
     def getNumeric(self) -> list[str]:
         return self.getOrDefault(self.numeric)
@@ -45,7 +48,8 @@ class ColumnTransformer(Estimator, _EncoderParams, DefaultParamsReadable, Defaul
 
     @keyword_only
     def __init__(self, *, numeric: Sequence[str] = NUMERIC_FEATURES,
-                 categorical: Sequence[str] = CATEGORICAL_FEATURES, outputCol: str = "features"):
+                 categorical: Sequence[str] = CATEGORICAL_FEATURES, outputCol: str = "features",
+                 maxCategories: int = MAX_CATEGORIES):
         super().__init__()
         self._set(**self._input_kwargs)
         self._setDefault(numeric=list(numeric), categorical=list(categorical))
@@ -56,7 +60,7 @@ class ColumnTransformer(Estimator, _EncoderParams, DefaultParamsReadable, Defaul
         means, scales = fit_scaler(df, numeric)
         model = ColumnTransformerModel(
             numeric=numeric, categorical=categorical, means=means, scales=scales,
-            categories=fit_categories(df, categorical))
+            categories=fit_categories(df, categorical, self.getOrDefault(self.maxCategories)))
         return self._copyValues(model, {self.numeric: numeric, self.categorical: categorical})
 
 

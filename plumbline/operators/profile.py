@@ -55,22 +55,19 @@ def _copies(df: DataFrame) -> DataFrame:
 def duplicates(df: DataFrame, method: str = "rows") -> DataFrame:
     """Rows after the first equal one: ``n_rows``, ``duplicate_count``, ``duplicate_pct``.
 
-    ``rows`` shuffles each distinct row once. ``hash`` is for wide rows: it shuffles
-    64-bit hashes, then compares in full only rows whose hash occurs more than once; where
-    one row makes up much of the table, ``rows`` is the better choice. Both are exact.
+    ``rows`` shuffles each distinct row once and is exact. ``hash`` is for wide rows: it reads the
+    table once and shuffles two independent 64-bit hashes per distinct row, with copies combined in the map
+    tasks; different rows are taken for equal only if both hashes agree (odds of n^2 / 2^129).
     """
     if method == "rows":
         counted = _copies(df).agg(
             F.coalesce(F.sum("__copies"), F.lit(0)).alias("n_rows"),
             F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_count"))
     elif method == "hash":
-        hashed = df.withColumn("__hash", F.xxhash64(*df.columns))
-        repeated = hashed.groupBy("__hash").count().filter(F.col("count") > 1).select("__hash")
-        suspects = hashed.join(repeated, "__hash", "left_semi").drop("__hash")
-        extra = _copies(suspects).select(F.lit(0).alias("rows"), (F.col("__copies") - 1).alias("extra"))
-        total = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("extra", F.lit(0))
-        counted = total.unionByName(extra).agg(
-            F.sum("rows").alias("n_rows"), F.sum("extra").alias("duplicate_count"))
+        keys = [F.xxhash64(F.lit(salt), *df.columns).alias(f"__h{salt}") for salt in (0, 1)]
+        counted = (df.select(*keys).groupBy("__h0", "__h1").agg(F.count(F.lit(1)).alias("__copies"))
+                   .agg(F.coalesce(F.sum("__copies"), F.lit(0)).alias("n_rows"),
+                        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_count")))
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.withColumn("duplicate_pct", percent(F.col("duplicate_count"), F.col("n_rows")))

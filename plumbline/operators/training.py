@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -105,12 +106,17 @@ def search_rows(spark, searches: Sequence[Search]) -> DataFrame:
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row ``(n, r2, rmse, mae)`` from one aggregate. R2 is 1 - residual / total sum of
-    squares, which differs from the squared correlation."""
-    y, error = F.col(label), F.col(label) - F.col(prediction)
+    squares, which differs from the squared correlation; of a constant label it is 1 if every prediction is
+    exact and 0 otherwise. A labelled row without a prediction is an error: leaving it out would flatter the model."""
+    y, error = F.col(label).cast("double"), F.col(label) - F.col(prediction)
+    r2 = F.when(F.col("spread") > 0, F.lit(1.0) - ratio(F.col("mse"), F.col("spread"))) \
+        .when(F.col("mse") == 0, F.lit(1.0)).when(F.col("mse") > 0, F.lit(0.0))
+    bad = F.raise_error(F.concat(F.col("unscored").cast("string"), F.lit(" rows have a label but no prediction"))).cast("bigint")
+    unscored = y.isNotNull() & (F.col(prediction).isNull() | F.isnan(F.col(prediction).cast("double")))
     return df.agg(
-        F.count(y).alias("n"), F.var_pop(y).alias("spread"),
+        F.count(y).alias("n"), F.var_pop(y).alias("spread"), F.count_if(unscored).alias("unscored"),
         F.avg(error * error).alias("mse"), F.avg(F.abs(error)).alias("mae"),
-    ).select("n", (F.lit(1.0) - ratio(F.col("mse"), F.col("spread"))).alias("r2"),
+    ).select(F.when(F.col("unscored") > 0, bad).otherwise(F.col("n")).alias("n"), r2.alias("r2"),
              F.sqrt("mse").alias("rmse"), "mae")
 
 
@@ -149,6 +155,8 @@ def select_best(
         try:
             search = grid_search(train, family, key, folds, parallelism)
             scored = regression_metrics(search.model.transform(test)).first()
+            if scored["r2"] is None or math.isnan(search.cv_r2):
+                raise ValueError("no test row to score")
         except Exception as error:  # noqa: BLE001 - one family must not end the search
             log.warning("family %s failed: %s", family.name, error)
             continue

@@ -7,16 +7,19 @@ stage depends on another's lineage.
 
 from __future__ import annotations
 
+import hashlib
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import iso_stamp
 from plumbline.operators.contract import (
-    INSURED, Contract, Validation, coerce, normalise_nulls, validate, validation_rows,
+    INSURED, Contract, Validation, coerce, coercion_losses, normalise_nulls, validate, validation_rows,
 )
 from plumbline.operators.drift import basic_drift
 from plumbline.operators.drift_tests import DriftRules, dataset_drift
@@ -28,6 +31,7 @@ from plumbline.operators.training import (
     MINIMUM_SCORE, families, leaderboard, require_score, residuals, select_best,
 )
 from plumbline.plans.reports import WINSORISED, analysis_report, sample_metrics, stage_metrics
+from plumbline.shared import literal_rows
 from plumbline.sources import registry
 from plumbline.sources.files import (
     load_model, read_matrix, save_model, snapshot, write_csv, write_matrix, write_report,
@@ -77,19 +81,66 @@ class Settings:
         return f"{self.base}/runs/{self.run_id}/{name}"
 
 
-def _is_done(spark: SparkSession, settings: Settings, stage: str) -> bool:
-    """Whether the stage's metrics, which it writes last, are there."""
+#: Settings that a stage's result depends on, besides its inputs.
+DEPENDS_ON = {
+    "ingest": ("contract", "key", "test_ratio", "seed", "exact_split"), "analyse": ("contract",),
+    "validate": ("contract", "key", "drift_method", "drift_rules"), "transform": ("contract", "key"),
+    "train": ("key", "expected_score", "grid", "folds", "select_by"),
+    "evaluate": ("contract", "registry", "min_gain"), "promote": ("registry",),
+}
+METRIC_ROWS = "stage string, metric string, value double, text string"
+#: Rows of the stored metrics that name the attempt and what it was made from.
+ATTEMPT, INPUTS = "attempt", "inputs"
+
+
+def _stored(spark: SparkSession, settings: Settings, stage: str) -> dict[str, float | str]:
+    """All stored metrics of a stage, none if it never finished."""
     try:
-        return bool(read_metrics(spark, settings, stage))
+        rows = spark.read.schema(METRIC_ROWS).json(settings.path(f"metrics/{stage}")).collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
+        return {}
+    return {r["metric"]: r["text"] if r["value"] is None else r["value"] for r in rows}
+
+
+def read_metrics(spark: SparkSession, settings: Settings, stage: str) -> dict[str, float | str]:
+    """Stored metrics of a finished stage."""
+    found = _stored(spark, settings, stage)
+    return {name: value for name, value in found.items() if name not in (ATTEMPT, INPUTS)}
+
+
+def _inputs(spark: SparkSession, settings: Settings, stage: str) -> str:
+    """Stands for the attempts whose results a stage reads, and for its settings."""
+    attempts = [str(_stored(spark, settings, needed).get(ATTEMPT)) for needed in REQUIRES[stage]]
+    chosen = [f"{name}={getattr(settings, name)!r}" for name in DEPENDS_ON[stage]]
+    return hashlib.sha256("\n".join([*attempts, *chosen]).encode()).hexdigest()
+
+
+def _is_done(spark: SparkSession, settings: Settings, stage: str) -> bool:
+    """Whether the stage finished on the results that are stored now, all of them done themselves."""
+    found = _stored(spark, settings, stage)
+    return (bool(found) and found.get(INPUTS) == _inputs(spark, settings, stage)
+            and all(_is_done(spark, settings, needed) for needed in REQUIRES[stage]))
+
+
+def _begin(spark: SparkSession, settings: Settings, stage: str) -> None:
+    """Take back the metrics of a stage and of all that read its results, before anything is written."""
+    for name in STAGES[STAGES.index(stage):]:
+        if (name == stage or _reads(name, stage)) and _stored(spark, settings, name):
+            write_report(literal_rows(spark, METRIC_ROWS, []), settings.path(f"metrics/{name}"))
+
+
+def _reads(stage: str, other: str) -> bool:
+    return any(needed == other or _reads(needed, other) for needed in REQUIRES[stage])
 
 
 def _finish(settings: Settings, stage: str, metrics: DataFrame) -> None:
     """Stage metrics are written last; a stage without them is not complete."""
-    stamped = metrics.withColumn("stamped_at", iso_stamp())
+    spark = metrics.sparkSession
+    tokens = literal_rows(spark, METRIC_ROWS, [
+        (stage, ATTEMPT, None, uuid.uuid4().hex), (stage, INPUTS, None, _inputs(spark, settings, stage))])
+    stamped = metrics.unionByName(tokens).withColumn("stamped_at", iso_stamp())
     write_report(stamped, settings.path(f"metrics/{stage}"))
 
 
@@ -101,7 +152,9 @@ def _ingest(spark: SparkSession, settings: Settings) -> None:
     raw = settings.source(spark)
     stored = spark.read.parquet(snapshot(raw, f"{settings.base}/feature_store", settings.run_id))
     # Columns that do not belong stay in, for the checks of the next stage to report.
-    typed = normalise_nulls(coerce(stored.drop("run_id"), settings.contract))
+    raw = stored.drop("run_id")
+    write_report(coercion_losses(raw, settings.contract, settings.key), settings.path("lost_values"))
+    typed = normalise_nulls(coerce(raw, settings.contract))
     is_test = in_test_sample(typed, settings.key, settings.test_ratio, settings.seed, settings.exact_split)
     write_sides(typed, is_test, settings.path("samples"))
     samples = [(side, _sample(spark, settings, side)) for side in ("train", "test")]
@@ -137,15 +190,6 @@ def _validate(spark: SparkSession, settings: Settings) -> None:
     _finish(settings, "validate", stage_metrics("validate", numbers, spark, {"message": result.message}))
 
 
-METRIC_ROWS = "stage string, metric string, value double, text string"
-
-
-def read_metrics(spark: SparkSession, settings: Settings, stage: str) -> dict[str, float | str]:
-    """Stored metrics of a finished stage."""
-    rows = spark.read.schema(METRIC_ROWS).json(settings.path(f"metrics/{stage}")).collect()
-    return {r["metric"]: r["text"] if r["value"] is None else r["value"] for r in rows}
-
-
 def _transform(spark: SparkSession, settings: Settings) -> None:
     stored = read_metrics(spark, settings, "validate")
     outcome = Validation(stored["validation_status"] == 1.0, stored["message"], {})
@@ -203,15 +247,21 @@ _RUN = {"ingest": _ingest, "analyse": _analyse, "validate": _validate, "transfor
 
 
 def run_stage(spark: SparkSession, name: str, settings: Settings, force: bool = True) -> DataFrame:
-    """Run one stage, first running whichever of its inputs are not stored yet.
+    """Run one stage, first running whichever of its inputs are not stored or out of date.
 
-    With ``force`` off a stage that is already stored is left as it is.
+    With ``force`` off a stage that is stored, and was made from what is stored now, is left as it is.
+    A stage that runs again makes all that read its results out of date.
     """
     for needed in REQUIRES[name]:
         run_stage(spark, needed, settings, force=False)
     if force or not _is_done(spark, settings, name):
+        _begin(spark, settings, name)
         _RUN[name](spark, settings)
-    return spark.read.schema(METRIC_ROWS).json(settings.path(f"metrics/{name}"))
+    return _metric_rows(spark, [settings.path(f"metrics/{name}")])
+
+
+def _metric_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.schema(METRIC_ROWS).json(paths).filter(~F.col("metric").isin(ATTEMPT, INPUTS))
 
 
 def run_full(spark: SparkSession, settings: Settings, resume: bool = False) -> DataFrame:
@@ -227,4 +277,4 @@ def run_full(spark: SparkSession, settings: Settings, resume: bool = False) -> D
                 raise
             log.warning("analysis failed: %s", error)
     done = [settings.path(f"metrics/{name}") for name in STAGES if _is_done(spark, settings, name)]
-    return spark.read.schema(METRIC_ROWS).json(done)
+    return _metric_rows(spark, done)

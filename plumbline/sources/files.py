@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.scalars import whole_number
+
 # Texts that stand for a missing cell in a CSV file.
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -20,25 +22,49 @@ OBJECT_STORE_TOKENS = [*NULL_TOKENS, "na"]
 
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-    null_tokens: Sequence[str] = NULL_TOKENS, strict: bool = True,
+    null_tokens: Sequence[str] = NULL_TOKENS, strict: bool = True, multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header and a declared schema; ``path`` may be a glob or an ``s3a://`` prefix.
 
-    Spark's reader knows one null text, so cells are read as text and cast here. A cell
-    that is neither a null text nor of its type is an error, or null if not ``strict``.
+    Columns are found by name: further ones stay as text behind the declared ones, for checks
+    to report, and a missing one is an error. Quotes inside a cell are doubled. Cells with line
+    breaks need ``multi_line``, which reads a file in one task; switch it off for files that
+    hold one record per line, and they are split.
+
+    Spark's reader knows one null text, so cells are read as text and cast here. Whole numbers may
+    be written with a zero fraction or an exponent. A cell that is neither a null text nor of its
+    type is an error, or null if not ``strict``; no number that is none comes out.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).csv(path, header=True, enforceSchema=False)
-    cells = []
-    for f in schema.fields:
-        cell = F.when(~F.col(f.name).isin(list(null_tokens)), F.col(f.name))
-        cells.append((cell.cast(f.dataType) if strict else cell.try_cast(f.dataType)).alias(f.name))
-    return raw.select(*cells)
+    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"',
+                         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"columns not found: {missing}")
+    declared = {f.name for f in schema.fields}
+    further = [F.col(f"`{name}`") for name in raw.columns if name not in declared]
+    return raw.select(*[_cell(f, null_tokens, strict) for f in schema.fields], *further)
+
+
+def _cell(f: T.StructField, null_tokens: Sequence[str], strict: bool) -> Column:
+    """A text cell as a value of the field's type."""
+    cell = F.when(~F.col(f.name).isin(list(null_tokens)), F.col(f.name))
+    if isinstance(f.dataType, T.IntegralType):
+        value = whole_number(cell, f.dataType.simpleString())
+    else:
+        value = cell.try_cast(f.dataType)
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        value = F.when(~F.isnan(value), value)
+    if strict:
+        no_number = F.lower(F.trim(cell)).isin("nan", "+nan", "-nan")
+        bad = F.raise_error(F.concat(F.lit(f"column {f.name}: not of type {f.dataType.simpleString()}: "), cell))
+        value = F.when(cell.isNotNull() & value.isNull() & ~no_number, bad.cast(f.dataType)).otherwise(value)
+    return value.alias(f.name)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV part files with a header; nulls as empty cells."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV part files with a header; nulls as empty cells, blanks and line breaks kept."""
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def snapshot(df: DataFrame, base: str, run_id: str) -> str:

@@ -6,6 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plumbline.operators.contract import normalise_nulls
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 FETCH_ROWS = 10_000
@@ -31,8 +34,13 @@ def qualified(table: str, schema: str | None) -> str:
 
 
 def clean_url(url: str) -> str:
-    """The URL without the blanks and quotes that settings files leave around it."""
-    return url.strip().strip('"').strip("'")
+    """The URL without blanks around it and without the pair of quotes that a settings file puts there.
+
+    A quote without its partner belongs to the URL and stays.
+    """
+    url = url.strip()
+    quoted = len(url) > 1 and url[0] == url[-1] and url[0] in "'\""
+    return clean_url(url[1:-1]) if quoted else url
 
 
 def read_options(
@@ -50,12 +58,12 @@ def read_table(
     spark: SparkSession, url: str, table: str, schema: str | None = None,
     partitioning: Partitioning | None = None, properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A whole table; filters and column choice of later steps run in the database.
+    """A whole table; filters and column choice of later steps run in the database. NaN becomes null.
 
     Without ``partitioning`` one task reads everything, which suits small tables only.
     """
-    return spark.read.format("jdbc").options(
-        **read_options(url, table, schema, partitioning, properties)).load()
+    return normalise_nulls(spark.read.format("jdbc").options(
+        **read_options(url, table, schema, partitioning, properties)).load())
 
 
 def key_range(
@@ -84,7 +92,7 @@ def list_tables(
 ) -> DataFrame:
     """Table names of a schema, filtered by the database."""
     return (read_table(spark, url, "tables", "information_schema", properties=properties)
-            .filter(f"table_schema = '{schema}'").select("table_name"))
+            .filter(F.col("table_schema") == F.lit(schema)).select("table_name"))
 
 
 def list_catalog_tables(spark: SparkSession, database: str | None = None) -> list[str]:

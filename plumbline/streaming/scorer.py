@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,17 +21,46 @@ def request_schema(contract: Contract = INSURED) -> T.StructType:
 
 def request_stream(
     spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigger: int | None = None,
+    contract: Contract = INSURED,
 ) -> DataFrame:
     """Requests as they arrive in a folder."""
-    reader = spark.readStream.schema(request_schema()).format(fmt)
+    reader = spark.readStream.schema(request_schema(contract)).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
 
 
-def score_stream(model: Model, stream: DataFrame) -> DataFrame:
-    """Predictions of the accepted requests; no state, so any number of executors helps."""
-    return score(model, accepted_requests(judge_requests(stream)))
+def score_stream(
+    model: Model, stream: DataFrame, contract: Contract = INSURED, form_bounds: bool = True,
+) -> DataFrame:
+    """Predictions of the accepted requests alone; ``answer_stream`` also answers the refused ones."""
+    return score(model, accepted_requests(judge_requests(stream, contract, form_bounds), contract))
+
+
+def answer_stream(
+    model: Model, stream: DataFrame, contract: Contract = INSURED, form_bounds: bool = True,
+) -> DataFrame:
+    """One row per request: a prediction if it was accepted, else the ``reason`` for its refusal.
+
+    Rejected requests go through the model with the numbers of an arbitrary good one, and their
+    prediction is blanked: so the source is read once. There is no state; any number of executors helps.
+    """
+    judged = judge_requests(stream, contract, form_bounds)
+    fields = [name for name, _ in contract.columns if name != contract.target]
+    rest = [name for name in judged.columns
+            if name not in fields and name != "reason" and not name.startswith("typed_")]
+    good, kinds = F.col("reason").isNull(), dict(contract.columns)
+
+    def filler(name: str):
+        if kinds[name] == "category":
+            return F.lit(contract.choices.get(name, [""])[0])
+        return F.lit(contract.form_bounds.get(name, (0,))[0]).cast("bigint" if kinds[name] == "int" else "double")
+
+    cells = [F.when(good, F.col(f"typed_{name}")).otherwise(filler(name)).alias(name) for name in fields]
+    scored = score(model, judged.select(*rest, *cells, F.col("reason").alias("__reason")))
+    blank = F.col("__reason").isNotNull()
+    outputs = {name: F.when(~blank, F.col(name)) for name in scored.columns if name not in (*rest, "__reason")}
+    return scored.withColumns(outputs).withColumnRenamed("__reason", "reason")
 
 
 def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

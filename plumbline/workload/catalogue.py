@@ -1,7 +1,7 @@
 """Importing the query modules fills the registry."""
 
 from plumbline.workload import (  # noqa: F401
-    conformance, distributions, modelling, profiling, storage,
+    conformance, distributions, exceptions, modelling, profiling, storage,
 )
 from plumbline.workload.registry import ORACLES, QUERIES
 

@@ -342,6 +342,6 @@ UNION ALL SELECT column_name, 'chi_square', p_value
 FROM ({chi_square_sql('insured', 'insured_shifted', ['region'])}) c) d"""))
 def dataset_drift_by_p_values(spark, sf_dir):
     """The tests meant for small samples, on every row."""
-    rules = drift_tests.DriftRules(small_sample=10 ** 15)
+    rules = drift_tests.DriftRules(by_sample_size=True, small_sample=10 ** 15)
     return rounded(drift_tests.dataset_drift(
         insured(spark, sf_dir), insured_shifted(spark, sf_dir), INSURED, rules), 5)

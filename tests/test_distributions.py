@@ -93,17 +93,21 @@ def test_unseen_category_has_no_chance(spark):
 
 def test_choice_of_tests():
     names = {"age": 40, "sex": 2, "region": 4, "children": 5}
-    rules = drift_tests.DriftRules()
+    rules = drift_tests.DriftRules(by_sample_size=True)
     assert drift_tests.choose_tests(1000, names, INSURED, rules) == {
         "ks": ["age"], "proportion_z": ["sex"], "chi_square": ["region", "children"]}
     assert drift_tests.choose_tests(1001, names, INSURED, rules) == {
         "wasserstein": ["age"], "jensen_shannon": ["sex", "region", "children"]}
+    for rows in (900, 1100):  # by default the size plays no part
+        assert drift_tests.choose_tests(rows, names, INSURED, drift_tests.DriftRules()) == {
+            "wasserstein": ["age"], "jensen_shannon": ["sex", "region", "children"]}
 
 
 def test_dataset_drift_of_a_small_sample(spark):
     ref = frame(spark, age=[float(i) for i in range(60)], sex=["male", "female"] * 30)
     cur = frame(spark, age=[float(i + 50) for i in range(60)], sex=["male", "female"] * 30)
-    rows = {r.column_name: r for r in drift_tests.dataset_drift(ref, cur, INSURED).collect()}
+    rules = drift_tests.DriftRules(by_sample_size=True)
+    rows = {r.column_name: r for r in drift_tests.dataset_drift(ref, cur, INSURED, rules).collect()}
     assert rows["age"].test == "ks" and rows["age"].drifted and rows["age"].score < 1e-6
     assert rows["sex"].test == "proportion_z" and rows["sex"].score == 1.0 and not rows["sex"].drifted
     assert rows["age"].drift_share == 0.5 and rows["age"].dataset_drift
@@ -185,3 +189,30 @@ def test_describe_matches_numpy(spark):
     got = profile.describe_values(frame(spark, x=values.tolist()), ["x"], task_values=20)
     assert got["x", "std"] == pytest.approx(np.std(values, ddof=1))
     assert got["x", "75%"] == pytest.approx(np.percentile(values, 75))
+
+
+def test_few_values_are_counted_exactly_and_tests_can_be_named(spark):
+    ref = frame(spark, age=[float(i % 100) for i in range(900)], sex=["male"] * 900)
+    rules = drift_tests.DriftRules(few_values=100)
+    got = {r.column_name: r.test for r in drift_tests.dataset_drift(ref, ref, INSURED, rules).collect()}
+    assert got == {"age": "jensen_shannon", "sex": "jensen_shannon"}
+    got = {r.column_name: r.test for r in drift_tests.dataset_drift(ref, ref, INSURED, tests={"age": "ks"}).collect()}
+    assert got["age"] == "ks"
+
+
+def test_columns_go_together_up_to_the_bucket_limit(monkeypatch):
+    monkeypatch.setattr(drift_tests, "MAX_BUCKETS", 10)
+    assert drift_tests._together({"a": 4, "b": 6, "c": 1, "d": 10}) == [["a", "b"], ["c"], ["d"]]
+
+
+@pytest.mark.parametrize("x, freedom, want", [
+    (3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (11.070497693516351, 5, 0.05), (0.5, 3, 0.9188914116),
+    (124.34211340400407, 100, 0.05), (1074.6794494, 1000, 0.05), (10_233.7488, 10_000, 0.05)])
+def test_chi_square_tail(x, freedom, want):
+    assert drift_tests.chi_square_sf(x, freedom) == pytest.approx(want, rel=2e-3)
+
+
+def test_nan_is_no_drift(spark):
+    ref, cur = frame(spark, age=[1.0, 2.0]), frame(spark, age=[1.0, float("nan")])
+    assert not drift.mean_drift(ref, cur, ["age"]).first().drifted
+    assert not drift_tests.wasserstein(ref, cur, ["age"]).first().drifted
