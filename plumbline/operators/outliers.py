@@ -162,42 +162,57 @@ def histogram(
 EXP_UNDERFLOW = 746.0
 
 
+# Cells per bandwidth, and powers summed in each. The truncated series is off by at most
+# 1.1 * sum((1/16)^k / sqrt(k!), k >= 8), that is 2e-12 of the kernel's peak, for any data.
+CELLS_PER_BANDWIDTH, POWERS = 8, 8
+
+
 def density(
     df: DataFrame, col: str, grid: int = 200, bandwidth: float | None = None,
 ) -> DataFrame:
     """Gaussian kernel density on an even grid from the smallest to the largest value.
 
-    The bandwidth follows Scott's rule unless given. Every value adds only to the grid
-    points its kernel reaches before it underflows to zero, summed inside the map task,
-    so the shuffle carries at most ``grid`` sums per task.
+    The bandwidth follows Scott's rule unless given. Values are counted in cells of an eighth of a
+    bandwidth, as sums of powers of their distance from the middle, combined in the map task. Each cell then
+    adds its Hermite series to the grid points that the kernel reaches before it underflows to zero: the
+    work is rows plus cells times points, and the result differs from the exact sum by 2e-12 of a kernel's peak at most.
     """
     schema = "x double, density double"
     x = F.col(col).cast("double")
     stats = df.agg(F.count(x).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-                   F.stddev_samp(x).alias("std"), F.approx_count_distinct(x).alias("distinct")).first()
+                   F.stddev_samp(x).alias("std")).first()
     if stats["n"] < 2 or not stats["std"]:
         return literal_rows(df.sparkSession, schema, [])
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     h = bandwidth or stats["std"] * n ** (-1.0 / 5.0)
-    step = (hi - lo) / (grid - 1)
-    reach = h * math.sqrt(2.0 * EXP_UNDERFLOW)
-    values = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    if stats["distinct"] * 10 <= n:
-        # Repeated values are worth one kernel each, weighted by their count.
-        values = values.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    else:
-        values = values.withColumn("w", F.lit(1.0))
-    x = F.col("x")
-    first = F.greatest(F.lit(0), F.ceil((x - F.lit(lo + reach)) / F.lit(step)))
-    last = F.least(F.lit(grid - 1), F.floor((x - F.lit(lo - reach)) / F.lit(step)))
-    points = values.select("x", "w", F.explode(F.sequence(first, last)).alias("i"))
+    step, width = (hi - lo) / (grid - 1), h / CELLS_PER_BANDWIDTH
+    reach = h * math.sqrt(2.0 * EXP_UNDERFLOW) + width
+    cells = df.select(x.alias("x")).filter(F.col("x").isNotNull()).withColumn(
+        "cell", F.floor((F.col("x") - F.lit(lo)) / F.lit(width)))
+    middle = F.lit(lo) + (F.col("cell") + F.lit(0.5)) * F.lit(width)
+    cells = cells.withColumn("s", (F.col("x") - middle) / F.lit(h))
+    power, sums = F.lit(1.0), []
+    for k in range(POWERS):
+        sums.append((F.sum(power) / F.lit(float(math.factorial(k)))).alias(f"m{k}"))
+        power = power * F.col("s")
+    cells = cells.groupBy("cell").agg(*sums).withColumn("middle", middle)
+    first = F.greatest(F.lit(0), F.ceil((F.col("middle") - F.lit(lo + reach)) / F.lit(step)))
+    last = F.least(F.lit(grid - 1), F.floor((F.col("middle") - F.lit(lo - reach)) / F.lit(step)))
+    points = cells.filter(last >= first).select("*", F.explode(F.sequence(first, last)).alias("i"))
     at = F.lit(lo) + F.col("i") * F.lit(step)
-    u = (at - F.col("x")) / F.lit(h)
-    summed = points.groupBy("i").agg(F.sum(F.col("w") * F.exp(u * u * F.lit(-0.5))).alias("s"))
+    points = points.withColumn("u", (at - F.col("middle")) / F.lit(h))
+    u = F.col("u")
+    before, now, series = F.lit(0.0), F.lit(1.0), F.col("m0")
+    for k in range(1, POWERS):
+        before, now = now, u * now - F.lit(float(k - 1)) * before
+        points = points.withColumn(f"h{k}", now)
+        now, before = F.col(f"h{k}"), (F.lit(1.0) if k == 1 else F.col(f"h{k - 1}"))
+        series = series + now * F.col(f"m{k}")
+    summed = points.groupBy("i").agg(F.sum(series * F.exp(u * u * F.lit(-0.5))).alias("s"))
     every = df.sparkSession.range(grid).withColumnRenamed("id", "i")
     return every.join(summed, "i", "left").select(
         at.alias("x"),
-        (F.coalesce("s", F.lit(0.0)) / F.lit(n * h * math.sqrt(2.0 * math.pi))).alias("density"))
+        (F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(0.0)) / F.lit(n * h * math.sqrt(2.0 * math.pi))).alias("density"))
 
 
 def box_stats(
