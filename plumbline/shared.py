@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _local_folder: dict[str, str] = {}
+#: Scratch paths that this process has handed out, by application.
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,7 +35,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never the same one twice."""
-    return f"{shared_dir(spark)}/plumbline/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/plumbline/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this session has written below its scratch paths; results read from them end with it.
+
+    For the owner of a session to call once the results are used; returns the number of paths.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for name in paths:
+        path = hadoop.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

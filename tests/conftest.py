@@ -9,13 +9,14 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "4g")
                .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
