@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,10 @@ def _null_text() -> Column:
     return F.lit(None).cast("string")
 
 
+# Pairs of columns in one aggregate, which keeps its generated code small.
+PAIRS_PER_SCAN = 120
+
+
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)).cast("bigint"))
 
@@ -174,11 +181,18 @@ def _pearson(x: str, y: str) -> Column:
 
 
 def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``(column_x, column_y, corr)`` for every ordered pair, from one scan."""
+    """``(column_x, column_y, corr)`` for every ordered pair, over the rows that have both values.
+
+    Up to ``PAIRS_PER_SCAN`` pairs take one scan. More columns take two if no cell is missing, one to see that and one for
+    their covariance matrix, which each task sums and a tree adds up; with missing cells each
+    ``PAIRS_PER_SCAN`` pairs are a scan.
+    """
     cols = list(cols or columns_by_type(df, "numeric"))
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
+    if len(pairs) > PAIRS_PER_SCAN and _is_complete(df, cols):
+        return _correlation_matrix(df, cols)
     parts = []
-    for group in chunks(pairs, 120):
+    for group in chunks(pairs, PAIRS_PER_SCAN):
         one = df.agg(*[_pearson(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in group])
         entries = []
         for i, j in group:
@@ -189,6 +203,26 @@ def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _is_complete(df: DataFrame, cols: Sequence[str]) -> bool:
+    """Whether the table has rows and no cell of these columns is missing."""
+    holes = [F.col(col).isNull() | F.isnan(F.col(col).cast("double")) for col in cols]
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.exists(F.array(*holes), lambda hole: hole)).alias("hole")).first()
+    return row["n"] > 1 and not row["hole"]
+
+
+def _correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    cells = F.array(*[F.col(col).cast("double") for col in cols])
+    matrix = Correlation.corr(df.select(array_to_vector(cells).alias("v")), "v").first()[0].toArray()
+    rows = [(x, y, None if math.isnan(matrix[i, j]) or (i == j and _flat(matrix, i)) else float(matrix[i, j]))
+            for i, x in enumerate(cols) for j, y in enumerate(cols)]
+    return literal_rows(df.sparkSession, "column_x string, column_y string, corr double", rows)
+
+
+def _flat(matrix, i: int) -> bool:
+    """A constant column correlates with no other, not even with itself."""
+    return all(math.isnan(matrix[i, j]) for j in range(len(matrix)) if j != i)
+
+
 def correlation_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target, highest first, target included."""
     names = list(dict.fromkeys([*cols, target]))

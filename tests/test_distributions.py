@@ -216,3 +216,23 @@ def test_nan_is_no_drift(spark):
     ref, cur = frame(spark, age=[1.0, 2.0]), frame(spark, age=[1.0, float("nan")])
     assert not drift.mean_drift(ref, cur, ["age"]).first().drifted
     assert not drift_tests.wasserstein(ref, cur, ["age"]).first().drifted
+
+
+def test_wide_correlation_by_matrix_and_by_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    cols = {f"c{i}": (rng.normal(size=80) + (i % 3)).tolist() for i in range(17)} | {"flat": [2.0] * 80}
+    df = frame(spark, **cols)
+    by_matrix = {(r.column_x, r.column_y): r.corr for r in profile.correlation(df).collect()}
+    monkeypatch.setattr(profile, "_is_complete", lambda *_: False)
+    by_pairs = {(r.column_x, r.column_y): r.corr for r in profile.correlation(df).collect()}
+    assert len(by_matrix) == 18 * 18 and by_matrix.keys() == by_pairs.keys()
+    for key, value in by_pairs.items():
+        assert by_matrix[key] == (None if value is None else pytest.approx(value, abs=1e-9))
+
+
+def test_missing_cells_keep_pairs_complete(spark):
+    cols = {f"c{i}": [float((i + 1) * j % 7) for j in range(20)] for i in range(16)}
+    cols["c3"][4] = None
+    rows = {(r.column_x, r.column_y): r.corr for r in profile.correlation(frame(spark, **cols)).collect()}
+    a, b = (np.delete(np.array(cols[c], float), 4) for c in ("c3", "c5"))
+    assert rows["c3", "c5"] == pytest.approx(np.corrcoef(a, b)[0, 1])
