@@ -62,8 +62,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.repeated_spans(_table(spark, sf_dir, "documents"))
     total = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
     each = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    kept_in = F.array_sort(F.array_distinct(F.flatten(F.transform("spans", lambda s: s["of"]))))
     return found.select("doc_id", "n_units", F.size("spans").cast("long").alias("n_spans"),
-                        total.alias("removed_words"), F.array_join(each, ",").alias("spans"))
+                        total.alias("removed_words"), F.array_join(each, ",").alias("spans"),
+                        kept_in.alias("kept_in"), (F.size("spans") > 0).alias("repeated"))
 
 
 @_query
@@ -106,8 +108,7 @@ FROM marked GROUP BY page_id, host
 @_query
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = surrogates.replace_personal(_table(spark, sf_dir, "documents"), key="a key of the owner's choice")
-    return found.select("doc_id", *[f"n_{kind}" for kind in surrogates.KINDS], F.length("text").alias("n_chars"),
-                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return found.select("doc_id", *[f"n_{kind}" for kind in surrogates.KINDS], "text")
 
 
 @_query

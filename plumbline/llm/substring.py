@@ -75,13 +75,13 @@ def _removed(units: DataFrame) -> DataFrame:
     first = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     first = store(first, "first")
     again = (join_groups(units, first, ["high", "low"], "n", units.count()).where(place != F.col("first"))
-             .select("_row", "unit", "start", "end", "words"))
+             .select("_row", "unit", "start", "end", "words", F.col("first._id").alias("of")))
     beside = F.row_number().over(Window.partitionBy("_row").orderBy("unit"))
     runs = (again.withColumn("run", F.col("unit") - beside).groupBy("_row", "run")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
                  F.sum(F.when(F.col("words") >= UNIT_WORDS, F.col("words"))).alias("counted"),
-                 F.count("*").alias("units")).where(F.col("counted") >= LEAST_WORDS))
-    spans = F.sort_array(F.collect_list(F.struct("start", "end", "words", "units")))
+                 F.count("*").alias("units"), F.collect_set("of").alias("of")).where(F.col("counted") >= LEAST_WORDS))
+    spans = F.sort_array(F.collect_list(F.struct("start", "end", "words", "units", F.array_sort("of").alias("of"))))
     return runs.groupBy("_row").agg(spans.alias("spans"))
 
 
@@ -94,7 +94,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     line stays, a shared passage goes whatever stands around it. Copies of a hot unit are combined in
     the map tasks and joined by key; no group is gathered.
 
-    Null and empty texts have no units. A repeated row repeats all of its twin. Null ids rank first. An empty
+    A span's ``of`` lists the ids of the documents that keep its units. Null and empty texts have no units. A repeated row repeats all of its twin. Null ids rank first. An empty
     table gives no rows; other columns don't matter.
     """
     rows = docs.select(quoted(id_col).alias("_id"), quoted(text_col).cast("string").alias("text"))
@@ -108,7 +108,7 @@ def _exploded(rows: DataFrame) -> DataFrame:
 
 
 def _or_none(name: str):
-    return F.coalesce(name, F.array().cast("array<struct<start:int,end:int,words:long,units:long>>")).alias(name)
+    return F.coalesce(name, F.array()).alias(name)
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -32,7 +32,8 @@ def plain_spans(docs):
                 run.append(unit)
                 continue
             if sum(u[2] for u in run if u[2] >= 4) >= 20:
-                spans.append((run[0][0], run[-1][1], sum(u[2] for u in run), len(run)))
+                of = sorted({docs[first[u[3]][0]][0] for u in run} - {None})
+                spans.append((run[0][0], run[-1][1], sum(u[2] for u in run), len(run), of))
             run = []
         out.append(spans)
     return out
@@ -83,6 +84,6 @@ def test_query_equals_plain_version(spark, sf_dir):
     from plumbline.llm.queries import QUERIES
 
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
-    want = {i: ",".join(f"{s}:{e}" for s, e, _, _ in spans) for (i, _), spans in zip(docs, plain_spans(docs))}
+    want = {i: ",".join(f"{s}:{e}" for s, e, *_ in spans) for (i, _), spans in zip(docs, plain_spans(docs))}
     assert {r.doc_id: r.spans for r in QUERIES["op5_substring_dedup"](spark, sf_dir).collect()} == want
     assert any(want.values())
