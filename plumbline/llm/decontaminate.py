@@ -20,7 +20,7 @@ WINDOW = 10
 #: Bytes of text in one shard; a longer document is a shard of its own.
 SHARD_BYTES = 8 << 20
 #: Benchmark words that one broadcast holds; more of them are searched block after block.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 300_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 RESULT = StructType([
     StructField("n_words", LongType()), StructField("n_hit", LongType()),

@@ -73,7 +73,7 @@ TEXTS = [(1, "see alpha, BETA gamma delta epsilon zeta eta theta iota kappa lamb
          (1, "short item")]
 
 
-@pytest.mark.parametrize("block_words", [2_000_000, 6])
+@pytest.mark.parametrize("block_words", [300_000, 6])
 def test_hits_items_and_spans(spark, monkeypatch, block_words):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
     docs = spark.createDataFrame(TEXTS, "doc_id long, text string").withColumn("n_hit", F.lit("clash"))
