@@ -78,9 +78,9 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    host = boilerplate.host_of(F.col("url"))
-    found = boilerplate.drop_boilerplate(pages.select("page_id", host.alias("host"), "url", "html"),
-                                         F.col("host"), boilerplate.page_text(F.col("html")))
+    texts = pages.select("page_id", boilerplate.host_of(F.col("url")).alias("host"),
+                         boilerplate.page_text(F.col("html")).alias("text"))
+    found = boilerplate.drop_boilerplate(texts, F.col("host"), F.col("text"))
     return found.select("page_id", "host", "n_lines", "n_dropped",
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
