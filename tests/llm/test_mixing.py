@@ -74,16 +74,13 @@ def test_small_nodes_make_a_deeper_tree_with_the_same_sums(spark, monkeypatch):
     assert all(abs(taken[s] - target[s]) <= 23 for s in target)
 
 
-def test_each_document_keeps_its_chance(spark, monkeypatch):
-    rows = [(i, "a", "w " * (1 + i)) for i in range(8)] + [(i, "b", "w " * 50) for i in range(8, 12)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1).cache()
-    rate = plain_targets([(s, words(t)) for _, s, t in rows])["b"] / 200
-    taken = defaultdict(int)
-    for seed in range(12):
-        monkeypatch.setattr(mixing, "SEED", seed)
-        for r in mixing.mix(docs).collect():
-            taken[r.doc_id] += r.copies
-    assert all(abs(taken[i] / 12 - rate) < 0.6 for i in range(8, 12))
+def test_small_and_large_documents_have_the_same_chance(spark):
+    rows = [(i, "a", "w " * (5 if i % 2 else 60)) for i in range(2000)] + [(i, "b", "w " * 30) for i in range(2000, 2400)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    rate = plain_targets([(s, words(t)) for _, s, t in rows])["a"] / (1000 * 65)
+    for size in (5, 60):
+        copies = [r.copies for r in found if r.size == size]
+        assert abs(sum(copies) / len(copies) - rate) < 0.06 and {int(rate), int(rate) + 1} >= set(copies)
 
 
 def test_query_follows_the_contract(spark, sf_dir):

@@ -11,7 +11,7 @@ ROWS = [
     (1, "Mail a.Bc9@mail7.example.com or x@mail7.example.com, call +1 (375) 555-4393 now. Mr John Roe met Mrs. Ann Poe; Mr Roe left."),
     (2, None), (3, ""), (4, "card 4207051279108084 and 4207-0512-7910-8084 ip 49.37.233.206. ssn 123-45-6789 iban DE89 3704 0044 0532 0130 00"),
     (5, "Clean 12 text, v1.2.3 and 1234."), (1, "a.Bc9@mail7.example.com"), (6, "Господин Иван Петров и Госпожа Петров, Κύριος Γιώργος Παππάς"),
-    (None, "ann@x.org " * 2000), (7, "+1 (375) 555-4393\n49.37.233.206 4207051279108084")]
+    (None, "ann@x.org " * 200), (7, "+1 (375) 555-4393\n49.37.233.206 4207051279108084")]
 
 
 def luhn(number):
@@ -40,7 +40,7 @@ def test_form_and_coreference(replaced):
     assert m and luhn(m[1]) and luhn(m[2]) and m[1] != m[2].replace("-", "") and all(int(x) < 256 for x in m[3].split("."))
     assert rows[7, 1].text.split("\n")[1] == f"{m[3]} {m[1]}" and rows[7, 1].text.split("\n")[0] in first.text
     assert re.fullmatch(r"Господин (\w+) (\w+) и Госпожа \2, Κύριος [Α-ώΆ-ώ]+ [Α-ώ]+", rows[6, 3].text)
-    assert len(set(rows[None, 0].text.split())) == 1 and rows[None, 0].n_email == 2000
+    assert len(set(rows[None, 0].text.split())) == 1 and rows[None, 0].n_email == 200
 
 
 def test_texts_without_personal_data_stay(replaced):
@@ -57,9 +57,9 @@ def test_key_decides_and_empty_table(spark):
 
 
 def test_collisions_are_drawn_anew(spark):
-    values = spark.createDataFrame([("given_m", f"Name{i}") for i in range(30)] + [("phone", f"+1 {i:02}") for i in range(20)], "kind string, value string")
+    values = spark.createDataFrame([("given_m", f"Name{i}") for i in range(14)] + [("phone", f"+1 {i:02}") for i in range(8)], "kind string, value string")
     got = s.surrogates(values, "key").collect()
-    for kind, many in (("given_m", 30), ("phone", 20)):
+    for kind, many in (("given_m", 14), ("phone", 8)):
         mine = [r for r in got if r.kind == kind]
         assert len(mine) == len({r.surrogate for r in mine}) == many
         assert not {r.surrogate for r in mine} & {r.value for r in mine}
