@@ -19,7 +19,8 @@ WORD = r"\p{Lu}\p{Ll}+(?:[-'’]\p{Lu}?\p{Ll}+)?"
 NAME = rf"(?<![\p{{L}}])(?:{TITLE['f']}|{TITLE['m']}) (?:{WORD} )?{WORD}"
 PII = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, IP, CARD, PHONE, SSN, NAME))
 #: Texts without any of these hold nothing personal: each pattern needs one.
-HINT = rf"[@0-9]|(?:{TITLE['f']}|{TITLE['m']}) \p{{Lu}}"
+_FIRST = "".join(sorted({title[0] for titles in TITLE.values() for title in titles.split("|")}))
+HINT = rf"[@0-9]|(?=[{_FIRST}])(?:{TITLE['f']}|{TITLE['m']}) \p{{Lu}}"
 # Letters of each script, and given names by gender and script.
 SCRIPTS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αεηιου"}
