@@ -22,8 +22,14 @@ KINDS = ("assign", "access", "hex", "novel")
 #: Words near which a string is sensitive, and how far before it they may stand.
 SENSITIVE = re.compile(r"(?ai)pass(?:word|wd|phrase)?|secret|token|api|key|credential|auth|bearer|private|signature|session|salt")
 REACH = 48
-CANDIDATE = re.compile(r"(?a)(?<![A-Za-z0-9+/_=~.-])[A-Za-z0-9+/_=~.-]{16,}")
-_TAIL, _DIGIT = re.compile(r"(?a)[A-Za-z0-9+/_=~.-]*"), re.compile(r"[0-9]")
+#: Strings are measured from this length on: runs of these characters, and quoted ones without blanks.
+LEAST = 12
+_RUN = r"[A-Za-z0-9+/_=~.$!%^*#-]"
+CANDIDATE = re.compile(rf"""(?<!{_RUN}){_RUN}{{{LEAST}}}|["'`][^\s"'`]{{{LEAST}}}""")
+_TAIL, _QUOTED = re.compile(rf"{_RUN}*"), re.compile(r"""[^\s"'`]*""")
+#: What is left of an identifier after the sensitive word in it, marks that join it to a value, and a name before a value.
+_IDENTIFIER = re.compile(r"(?:_?[A-Za-z]++(?![A-Za-z0-9]))*+[A-Za-z0-9]*+")
+_JOINED, _NAME = re.compile(r"[=:&?_.~-]+"), re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=+")
 #: Text around a candidate that primes the compressor besides the identifiers.
 SURROUNDINGS = 256
 #: A candidate is reported if it adds so many bytes for each of its own, and so many at least.
@@ -72,16 +78,41 @@ class Novelty:
         return added / len(candidate), added
 
 
+def _value(text: str, start: int) -> tuple[int, int, int]:
+    """The run at ``start``, without a name and ``=`` before it or exclamation marks at its end, and where it ends with them."""
+    end = whole = _TAIL.match(text, start).end()
+    while end > start and text[end - 1] == "!":
+        end -= 1
+    name = _NAME.match(text, start, end)
+    return (name.end() if name and end - name.end() >= LEAST else start), end, whole
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Long strings with a digit that start at most ``REACH`` characters after a sensitive word."""
-    out, seen = [], 0
+    """Long strings joined to the identifier of a sensitive word, or starting at most ``REACH`` characters after it."""
+    out, seen, known = [], 0, 0
     for hint in SENSITIVE.finditer(text):
-        at = max(seen, hint.end())
-        while match := CANDIDATE.search(text, at, min(len(text), hint.end() + REACH + 16)):
-            end = _TAIL.match(text, match.start()).end()  # the search may have cut it
-            if _DIGIT.search(text, match.start(), end):
-                out.append((match.start(), end))
-            at = seen = end
+        if hint.end() > known:  # else the word is part of the identifier before
+            known = _IDENTIFIER.match(text, hint.end()).end()
+            joined = _JOINED.match(text, known)
+            if joined and known >= seen:
+                start, end, seen = _value(text, joined.end())
+                if end - start >= LEAST:
+                    out.append((start, end))
+        at = max(seen, known)
+        while match := CANDIDATE.search(text, at, min(len(text), known + REACH + LEAST)):
+            start = match.start()
+            if text[start] in "\"'`":
+                end = _QUOTED.match(text, match.end()).end()  # the search may have cut it
+                if text[end:end + 1] != text[start]:
+                    at = start + 1
+                    continue
+                out.append((start + 1, end))
+                at = seen = end + 1
+            else:
+                start, end, seen = _value(text, start)
+                if end - start >= LEAST:
+                    out.append((start, end))
+                at = seen
     return out
 
 
@@ -124,8 +155,8 @@ def _scanner(shared, text_at: int):
 def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with ``spans`` added: kind, start, end (code points, end exclusive) and novelty.
 
-    The base kinds are leftmost matches of fixed patterns. A long string with a digit shortly after a
-    sensitive word is ``novel`` if it still adds ``LEAST_SHARE`` bytes per byte to the compressed text
+    The base kinds are leftmost matches of fixed patterns. A string of ``LEAST`` characters joined to the identifier
+    that holds a sensitive word, or shortly after it, quoted or not, is ``novel`` if it still adds ``LEAST_SHARE`` bytes per byte to the compressed text
     around it, with the compressor primed by the corpus's identifiers. Rows are scanned where they are;
     only the bounded identifier dictionary is broadcast.
 
