@@ -33,6 +33,7 @@ GIVEN = {
     ("f", "greek"): "Άννα Βάσω Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Σοφία Φωτεινή".split(),
 }
 KINDS = ("email", "iban", "ip", "card", "phone", "ssn", "surname", "given_m", "given_f")
+NAMES = ("surname", "given_m", "given_f")
 #: Rounds in which collisions are mended before the form of a value counts as exhausted.
 MOST_ROUNDS = 60
 TOKENS = "array<struct<prefix:string,kind:string,value:string>>"
@@ -176,9 +177,23 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
     raise ValueError("a kind has more values than its form allows surrogates")
 
 
+def _whole_words(names: Column) -> Column:
+    """A pattern of the given names as whole words, longer ones before those that they start with."""
+    return F.concat(F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?:"), F.array_join(F.sort_array(names, asc=False), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+
+
+def _renamed(piece: Column) -> Column:
+    """A piece of text with the document's names in it replaced, by its columns ``name`` and ``named``."""
+    gaps, words = F.split(piece, F.col("name"), -1), F.regexp_extract_all(piece, F.col("name"), F.lit(0))
+    new = F.zip_with(gaps, words, lambda gap, word: F.concat(gap, F.coalesce(F.col("named")[word]["surrogate"], F.lit(""))))
+    return F.when(F.rlike(piece, F.col("name")), F.array_join(new, "")).otherwise(piece)
+
+
 def replace_personal(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The documents with personal data replaced in ``text_col``, and ``n_<kind>`` counts added.
 
+    Names are found after a title; the names found in a document are then replaced wherever they stand in it as whole
+    words, with the same surrogates. A word that is a given name and a surname there is taken as what it was first.
     The same value of a kind gets the same surrogate everywhere, names part by part, so that ``Mr Roe``
     stays the ``Mr John Roe`` of before; different values get different ones. Numbers keep
     their grouping and length, cards their check digit, phones their country, emails their shape and, per domain, one
@@ -197,9 +212,13 @@ def replace_personal(docs: DataFrame, key: str, text_col: str = "text") -> DataF
                   .select("list", F.flatten(F.transform("found", _tokens)).alias("tokens")), "lists")
     parts = lists.select("list", F.posexplode("tokens").alias("at", "t")).select("list", "at", "t.kind", "t.value")
     known = surrogates(parts.select("kind", "value").distinct(), key)
-    drawn = (parts.join(known, ["kind", "value"]).groupBy("list")
-             .agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("new")))
-    drawn = drawn.join(lists, "list").withColumnRenamed("list", "of_list")
+    drawn = store(parts.join(known, ["kind", "value"]), "drawn")
+    names_of = (drawn.where(F.col("kind").isin(*NAMES)).groupBy("list", "value")
+                .agg(F.min(F.struct("at", "kind", "surrogate")).alias("first"))
+                .groupBy("list").agg(F.map_from_entries(F.collect_list(F.struct("value", "first"))).alias("named"))
+                .withColumn("name", _whole_words(F.map_keys("named"))))
+    drawn = drawn.groupBy("list").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("new"))
+    drawn = drawn.join(lists, "list").join(names_of, "list", "left").withColumnRenamed("list", "of_list")
     none = read.where(F.size("found") == 0).withColumn("tokens", F.array().cast(TOKENS))
     some = read.where(F.size("found") > 0).join(drawn, F.col("list") == F.col("of_list"))
     # the text between the matches, then for each match its tokens with the kept text before each
@@ -207,11 +226,15 @@ def replace_personal(docs: DataFrame, key: str, text_col: str = "text") -> DataF
     firsts = F.transform("found", lambda m: F.size(_tokens(m)))
     starts = F.aggregate(firsts, F.array(F.lit(0)), lambda s, n: F.concat(s, F.array(F.element_at(s, -1) + n)))
     replaced = F.transform("tokens", lambda t, i: F.concat(t["prefix"], F.get(F.col("new"), i)["surrogate"]))
+    again = F.when(F.col("name").isNotNull(), F.flatten(F.transform(between, lambda piece: F.regexp_extract_all(piece, F.col("name"), F.lit(0)))))
+    untitled = F.transform(again, lambda word: F.struct(F.lit("").alias("prefix"), F.col("named")[word]["kind"].alias("kind"), word.alias("value")))
     pieces = F.transform(between, lambda piece, i: F.concat(
-        piece, F.when(i < F.size("found"), F.array_join(F.slice(replaced, F.get(starts, i) + 1,
+        _renamed(piece), F.when(i < F.size("found"), F.array_join(F.slice(replaced, F.get(starts, i) + 1,
                                                                   F.get(firsts, i)), "")).otherwise("")))
     done = none.withColumn("new_text", text).select(*plain.columns, "tokens", "new_text").unionByName(
-        some.withColumn("new_text", F.array_join(pieces, "")).select(*plain.columns, "tokens", "new_text"))
+        some.withColumn("new_text", F.array_join(pieces, ""))
+        .withColumn("tokens", F.concat("tokens", F.coalesce(untitled, F.array().cast(TOKENS))))
+        .select(*plain.columns, "tokens", "new_text"))
     kinds = [_count(kind).alias(f"n_{kind}") for kind in KINDS]
     return done.select(*[(F.col("new_text") if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)], *kinds)
 
