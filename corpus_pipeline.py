@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on too many documents of a source go; ``n_chars`` follows the text."""
-    found = boilerplate.drop_boilerplate(docs, F.col("source"), F.col("text"))
+    """Lines on too many distinct texts of a source go, copies voting once; ``n_chars`` follows the text."""
+    found = boilerplate.drop_boilerplate(docs, F.col("source"), F.col("text"), copies_once=True)
     found = found.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
     return found.select(*[quoted(c) for c in docs.columns])
 

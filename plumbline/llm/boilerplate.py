@@ -40,7 +40,7 @@ def _digest(line: Column) -> Column:
 
 
 def drop_boilerplate(pages: DataFrame, site: Column, text: Column, name: str = "text",
-                     most_share: float = MOST_SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
+                     most_share: float = MOST_SHARE, least_pages: int = LEAST_PAGES, copies_once: bool = False) -> DataFrame:
     """The pages with ``name`` set to the text without boilerplate, ``n_lines`` and ``n_dropped``.
 
     A line is boilerplate of a site if more than ``most_share`` of the site's pages, and at least
@@ -53,8 +53,11 @@ def drop_boilerplate(pages: DataFrame, site: Column, text: Column, name: str = "
     of them. Sites with over ``HOT_SHARE`` of all pages, of which there are at most ``1 / HOT_SHARE``, are
     broadcast with the number of parts that each one's pages are dealt to.
 
+    With ``copies_once`` pages of a site with one text count as one page, so that copies of a text do not
+    make its lines boilerplate.
+
     A null text has no lines and stays null; a null site is a site of its own. Repeated rows are
-    pages each. An empty table gives no rows. Columns with a result's name are replaced.
+    pages each, unless ``copies_once``. An empty table gives no rows. Columns with a result's name are replaced.
     """
     spark = pages.sparkSession
     results = {name.lower(), "n_lines", "n_dropped", "dropped"}
@@ -65,7 +68,13 @@ def drop_boilerplate(pages: DataFrame, site: Column, text: Column, name: str = "
     filled = F.array_distinct(F.filter(normalised_lines(F.col("_text")), lambda line: line != ""))
     digests = F.transform(filled, _digest)
     sites = store(rows.groupBy("_site").agg(F.count("*").alias("_pages")).withColumnRenamed("_site", "_of"), "sites")
-    counts = (rows.select("_site", F.explode(digests).alias("_digest")).groupBy("_site", "_digest").count()
+    voters = rows
+    if copies_once:
+        # one text per site and digest; the digests are combined in the map tasks, so hot texts are not gathered
+        voters = store(rows.groupBy("_site", F.md5("_text").alias("_of_text")).agg(F.first("_text").alias("_text")), "voters")
+    votes = sites if not copies_once else store(
+        voters.groupBy("_site").agg(F.count("*").alias("_pages")).withColumnRenamed("_site", "_of"), "votes")
+    counts = (voters.select("_site", F.explode(digests).alias("_digest")).groupBy("_site", "_digest").count()
               .where(F.col("count") >= least_pages))
     # a hot site's pages are dealt by its share of all pages, to four parts per task
     total = max(1, sites.agg(F.sum("_pages")).first()[0] or 0)
@@ -73,7 +82,7 @@ def drop_boilerplate(pages: DataFrame, site: Column, text: Column, name: str = "
     hot = F.broadcast(sites.where(F.col("_pages") > total * HOT_SHARE).select(
         F.col("_of").alias("_hot"), F.ceil(F.col("_pages") / total * tasks).cast("int").alias("_parts")))
     parts = F.coalesce("_parts", F.lit(1))
-    common = (counts.join(sites, F.col("_site").eqNullSafe(F.col("_of")))
+    common = (counts.join(votes, F.col("_site").eqNullSafe(F.col("_of")))
               .where(F.col("count") > F.col("_pages") * most_share)
               .groupBy("_site").agg(F.collect_list("_digest").alias("_common"))
               .join(hot, F.col("_site").eqNullSafe(F.col("_hot")), "left")
