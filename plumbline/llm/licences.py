@@ -86,8 +86,9 @@ RULES = (
 #: Words without which no sentence speaks of a licence.
 TRIGGER = (r"(?i)licen[sc]e|copyright|©|\(c\)|warrant|permission|redistribut|rights reserved|public domain|liable|"
            r"except in compliance|free software|free software foundation")
-#: Where sentences end: marks before a blank, a colon at the end of a line, and empty lines.
-BREAK = r"(?<=[.!?])\s+|(?<=:)[ \t]*\n|\n\s*\n"
+#: Where sentences end: marks before a blank, a colon at the end of a line, and lines that are empty or hold
+#: comment marks alone.
+BREAK = r"(?<=[.!?])\s+|(?<=:)[ \t]*\n|\n[\s*/#;%]*\n"
 
 
 def normalised(sentence: Column) -> Column:
@@ -148,6 +149,7 @@ def find_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _with_single_lines(part: Column) -> Column:
-    """A part as it is where its lines run on, else one sentence per line."""
-    lines = F.split(part, "\n")
-    return F.when(F.exists(lines, lambda line: sentence_id(normalised(line)) != "Unknown"), lines).otherwise(F.array(part))
+    """The lines of a part that are known sentences, and what runs on between them."""
+    marked = F.transform(F.split(part, "\n"), lambda line: F.when(
+        sentence_id(normalised(line)) != "Unknown", F.concat(F.lit("\0"), line, F.lit("\0"))).otherwise(line))
+    return F.split(F.array_join(marked, "\n"), "\0")
