@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import store
+from plumbline.llm.common import join_groups, store
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    """Hang every larger neighbour of a node on the smallest node around it."""
+def _large_star(links: DataFrame, total: int) -> DataFrame:
+    """Hang every larger neighbour of a node on the smallest node around it; the few hubs are broadcast."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct())
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+    return (join_groups(both, least, ["u"], "n", 2 * total).where("v > u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, total: int) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them; here u > v always."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = (links.join(least, "u").where("v <> m")
+    least = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = (join_groups(links, least, ["u"], "n", total).where("v <> m")
              .select(F.col("v").alias("u"), F.col("m").alias("v")))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -40,4 +40,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if state == before or state[0] == 0:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
-        links = store(_small_star(_large_star(links)), "links")
+        # Either star has at most as many links as there were, and the hubs' share is of that number.
+        links = store(_large_star(links, state[0]), "links")
+        links = store(_small_star(links, state[0]), "links")
