@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, licences, minhash, mixing, neighbours, quality, secrets, simhash, substring, surrogates
+from plumbline.llm import boilerplate, decontaminate, licences, minhash, mixing, neighbours, quality, ranked, secrets, simhash, substring, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,46 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_minhash"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
+cells AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM cells a JOIN cells b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reached r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.s)
+"""
+
+
+@_query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+ORACLES["op13_ranked_search"] = f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+sized AS (SELECT doc_id, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+total AS (SELECT count(*) AS c, sum(n)::BIGINT AS l FROM sized),
+asked AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) u GROUP BY item_id, term),
+held AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM words) u GROUP BY doc_id, term),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * c + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM held, total GROUP BY term, c),
+scored AS (
+  SELECT item_id, h.doc_id, sum(q * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * c) // l))))::BIGINT AS score
+  FROM asked a JOIN held h ON a.term = h.term JOIN weighed w ON a.term = w.term JOIN sized s ON h.doc_id = s.doc_id, total
+  GROUP BY item_id, h.doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
