@@ -43,8 +43,8 @@ def uniform(*cells: Column) -> Column:
 HOT_KEYS = 1e-4
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
-    """Inner join of rows with a stored table of groups, whose column ``count`` has the size of each.
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """Inner or left join of rows with a stored table of groups, whose column ``count`` has the size of each.
 
     Groups of more than ``HOT_KEYS`` of all rows are so few that they are broadcast, and their rows stay where
     they are. The rows of the others are dealt by key; none of these groups is large.
@@ -53,4 +53,4 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str,
     few = F.broadcast(groups.where(hot).withColumn("_hot", F.lit(True)))
     known = rows.join(few, keys, "left")
     rest = known.where(F.col("_hot").isNull()).select(*rows.columns)
-    return known.where("_hot").drop("_hot").unionByName(rest.join(groups.where(~hot), keys))
+    return known.where("_hot").drop("_hot").unionByName(rest.join(groups.where(~hot), keys, how))

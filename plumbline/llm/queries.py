@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import boilerplate, decontaminate, licences, minhash, mixing, neighbours, quality, ranked, secrets, simhash, substring, surrogates
+from plumbline.llm import boilerplate, decontaminate, dialogue, licences, minhash, mixing, neighbours, quality, ranked, secrets, simhash, substring, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,6 +122,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(dialogue.damaged(_table(spark, sf_dir, "conversations")))
+
+
 @_query
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
