@@ -78,12 +78,3 @@ def test_repeated_rows_and_empty_tables(spark):
     assert got == [0, 0, 1]
     assert substring.repeated_spans(frame(spark).limit(0)).count() == 0
     assert substring.drop_repeats(frame(spark).limit(0)).count() == 0
-
-
-def test_query_equals_plain_version(spark, sf_dir):
-    from plumbline.llm.queries import QUERIES
-
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
-    want = {i: ",".join(f"{s}:{e}" for s, e, *_ in spans) for (i, _), spans in zip(docs, plain_spans(docs))}
-    assert {r.doc_id: r.spans for r in QUERIES["op5_substring_dedup"](spark, sf_dir).collect()} == want
-    assert any(want.values())
