@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import whole_number
+from plumbline.sources import csv_records
 
 # Texts that stand for a missing cell in a CSV file.
 NULL_TOKENS = [
@@ -27,16 +28,15 @@ def read_csv(
     """CSV with a header and a declared schema; ``path`` may be a glob or an ``s3a://`` prefix.
 
     Columns are found by name: further ones stay as text behind the declared ones, for checks
-    to report, and a missing one is an error. Quotes inside a cell are doubled. Cells with line
-    breaks need ``multi_line``, which reads a file in one task; switch it off for files that
-    hold one record per line, and they are split.
+    to report, and a missing one is an error. Quotes inside a cell are doubled. Cells may hold line
+    breaks: a look at all lines tells whether any does, and either way several tasks read a
+    file. Switch ``multi_line`` off for files known to hold one record per line, to spare that look.
 
     Spark's reader knows one null text, so cells are read as text and cast here. Whole numbers may
     be written with a zero fraction or an exponent. A cell that is neither a null text nor of its
     type is an error, or null if not ``strict``; no number that is none comes out.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"',
-                         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    raw = _text_cells(spark, path, multi_line)
     missing = [f.name for f in schema.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}")
@@ -45,6 +45,28 @@ def read_csv(
     return raw.select(*[_cell(f, null_tokens, strict) for f in schema.fields], *further)
 
 
+#: Quotes are doubled inside cells, and blanks belong to them.
+CELLS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _text_cells(spark: SparkSession, path: str | Sequence[str], multi_line: bool) -> DataFrame:
+    """All cells as text."""
+    def reader(whole_files: bool) -> DataFrame:
+        return spark.read.options(**CELLS).csv(path, header=True, inferSchema=False, multiLine=whole_files)
+
+    if not multi_line:
+        return reader(False)
+    lines = csv_records.lines_of(spark, path)
+    if not csv_records.needs_joining(lines):
+        return reader(False)
+    whole = reader(True)  # of this only the header is read, unless there are too many splits
+    records = csv_records.records_of(lines)
+    if records is None or not whole.columns:
+        return whole
+    names = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in whole.columns)
+    return records.select(F.from_csv("record", names, CELLS).alias("cells")).select("cells.*")
+
+
 def _cell(f: T.StructField, null_tokens: Sequence[str], strict: bool) -> Column:
     """A text cell as a value of the field's type."""
     cell = F.when(~F.col(f.name).isin(list(null_tokens)), F.col(f.name))
