@@ -2,18 +2,19 @@
 
 Every stage reads what earlier stages wrote and writes its own result below the run's
 folder, so a stage can run alone, a lost job resumes at the last stored result, and no
-stage depends on another's lineage.
+stage depends on another's lineage. Each attempt of a stage has a folder of its own, and a ledger says which
+attempts began and which were finished: a reader finds the newest finished one whole, whatever runs or dies meanwhile.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,7 @@ from plumbline.operators.training import (
     MINIMUM_SCORE, families, leaderboard, require_score, residuals, select_best,
 )
 from plumbline.plans.reports import WINSORISED, analysis_report, sample_metrics, stage_metrics
-from plumbline.shared import literal_rows
-from plumbline.sources import registry
+from plumbline.sources import ledger, registry
 from plumbline.sources.files import (
     load_model, read_matrix, save_model, snapshot, write_csv, write_matrix, write_report,
 )
@@ -77,8 +77,12 @@ class Settings:
         if not (self.base and self.run_id and self.registry):
             raise ValueError("base, run_id and registry must be given")
 
-    def path(self, name: str) -> str:
-        return f"{self.base}/runs/{self.run_id}/{name}"
+    def log(self, stage: str) -> str:
+        """The ledger of a stage's attempts."""
+        return f"{self.base}/runs/{self.run_id}/log/{stage}"
+
+    def folder(self, stage: str, attempt: str) -> str:
+        return f"{self.base}/runs/{self.run_id}/{stage}/{attempt}"
 
 
 #: Settings that a stage's result depends on, besides its inputs.
@@ -89,157 +93,196 @@ DEPENDS_ON = {
     "evaluate": ("contract", "registry", "min_gain"), "promote": ("registry",),
 }
 METRIC_ROWS = "stage string, metric string, value double, text string"
-#: Rows of the stored metrics that name the attempt and what it was made from.
-ATTEMPT, INPUTS = "attempt", "inputs"
+BEGUN, DONE = "begun", "done"
+#: The stage that writes each stored result.
+WRITTEN_BY = {
+    "lost_values": "ingest", "samples": "ingest", "analysis_report": "analyse", "train_cleaned": "analyse",
+    "test_cleaned": "analyse", "drift_report": "validate", "validation_report": "validate", "train_matrix": "transform",
+    "test_matrix": "transform", "encoder": "transform", "leaderboard": "train", "model": "train", "predictions": "train",
+    "decision": "evaluate",
+}
 
 
-def _stored(spark: SparkSession, settings: Settings, stage: str) -> dict[str, float | str]:
-    """All stored metrics of a stage, none if it never finished."""
-    try:
-        rows = spark.read.schema(METRIC_ROWS).json(settings.path(f"metrics/{stage}")).collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return {r["metric"]: r["text"] if r["value"] is None else r["value"] for r in rows}
+@dataclass(frozen=True)
+class Attempt:
+    """One attempt of a stage: the folder it writes to, and the finished attempts that it reads from."""
 
+    spark: SparkSession
+    settings: Settings
+    stage: str
+    name: str
+    reads: dict[str, str]
 
-def read_metrics(spark: SparkSession, settings: Settings, stage: str) -> dict[str, float | str]:
-    """Stored metrics of a finished stage."""
-    found = _stored(spark, settings, stage)
-    return {name: value for name, value in found.items() if name not in (ATTEMPT, INPUTS)}
+    def path(self, result: str) -> str:
+        return f"{self.settings.folder(self.stage, self.name)}/{result}"
 
+    def input(self, result: str) -> str:
+        """Where an earlier stage's result is; the same attempt's throughout."""
+        stage = WRITTEN_BY.get(result, result)
+        return f"{self.settings.folder(stage, self.reads[stage])}/{result if result in WRITTEN_BY else 'metrics'}"
 
-def _inputs(spark: SparkSession, settings: Settings, stage: str) -> str:
-    """Stands for the attempts whose results a stage reads, and for its settings."""
-    attempts = [str(_stored(spark, settings, needed).get(ATTEMPT)) for needed in REQUIRES[stage]]
-    chosen = [f"{name}={getattr(settings, name)!r}" for name in DEPENDS_ON[stage]]
-    return hashlib.sha256("\n".join([*attempts, *chosen]).encode()).hexdigest()
+    def sample(self, side: str) -> DataFrame:
+        own = self.stage == WRITTEN_BY["samples"]
+        return read_side(self.spark, self.path("samples") if own else self.input("samples"), side)
 
 
-def _is_done(spark: SparkSession, settings: Settings, stage: str) -> bool:
-    """Whether the stage finished on the results that are stored now, all of them done themselves."""
-    found = _stored(spark, settings, stage)
-    return (bool(found) and found.get(INPUTS) == _inputs(spark, settings, stage)
-            and all(_is_done(spark, settings, needed) for needed in REQUIRES[stage]))
+def _log(spark: SparkSession, settings: Settings, stage: str) -> list[dict]:
+    return [json.loads(text) for text in ledger.entries(spark, settings.log(stage))]
 
 
-def _begin(spark: SparkSession, settings: Settings, stage: str) -> None:
-    """Take back the metrics of a stage and of all that read its results, before anything is written."""
-    for name in STAGES[STAGES.index(stage):]:
-        if (name == stage or _reads(name, stage)) and _stored(spark, settings, name):
-            write_report(literal_rows(spark, METRIC_ROWS, []), settings.path(f"metrics/{name}"))
+def _finished(log: list[dict]) -> dict | None:
+    """The newest finished attempt."""
+    return next((entry for entry in reversed(log) if entry["state"] == DONE), None)
 
 
-def _reads(stage: str, other: str) -> bool:
-    return any(needed == other or _reads(needed, other) for needed in REQUIRES[stage])
+def _finished_attempt(spark: SparkSession, settings: Settings, stage: str) -> str | None:
+    found = _finished(_log(spark, settings, stage))
+    return found and found["attempt"]
 
 
-def _finish(settings: Settings, stage: str, metrics: DataFrame) -> None:
-    """Stage metrics are written last; a stage without them is not complete."""
-    spark = metrics.sparkSession
-    tokens = literal_rows(spark, METRIC_ROWS, [
-        (stage, ATTEMPT, None, uuid.uuid4().hex), (stage, INPUTS, None, _inputs(spark, settings, stage))])
-    stamped = metrics.unionByName(tokens).withColumn("stamped_at", iso_stamp())
-    write_report(stamped, settings.path(f"metrics/{stage}"))
+def result_path(spark: SparkSession, settings: Settings, result: str) -> str:
+    """Where the newest finished attempt has stored a result, or ``metrics/<stage>``."""
+    stage = WRITTEN_BY.get(result) or result.removeprefix("metrics/")
+    attempt = _finished_attempt(spark, settings, stage)
+    if attempt is None:
+        raise FileNotFoundError(f"stage {stage!r} of run {settings.run_id!r} never finished")
+    return f"{settings.folder(stage, attempt)}/{result if result in WRITTEN_BY else 'metrics'}"
 
 
-def _sample(spark: SparkSession, settings: Settings, side: str) -> DataFrame:
-    return read_side(spark, settings.path("samples"), side)
+def _read_metrics(spark: SparkSession, path: str) -> dict[str, float | str]:
+    rows = spark.read.schema(METRIC_ROWS).json(path).collect()
+    return {r["metric"]: r["text"] if r["value"] is None else r["value"] for r in rows}
 
 
-def _ingest(spark: SparkSession, settings: Settings) -> None:
+def read_metrics(spark: SparkSession, settings: Settings, stage: str) -> dict[str, float | str]:
+    """Stored metrics of the newest finished attempt of a stage; none if there is none."""
+    if _finished_attempt(spark, settings, stage) is None:
+        return {}
+    return _read_metrics(spark, result_path(spark, settings, f"metrics/{stage}"))
+
+
+def _inputs(settings: Settings, stage: str, reads: dict[str, str | None]) -> str:
+    """Stands for the attempts whose results a stage reads, and for its settings."""
+    attempts = [str(reads[needed]) for needed in REQUIRES[stage]]
+    chosen = [f"{name}={getattr(settings, name)!r}" for name in DEPENDS_ON[stage]]
+    return hashlib.sha256("\n".join([*attempts, *chosen]).encode()).hexdigest()
+
+
+def _is_done(spark: SparkSession, settings: Settings, stage: str) -> bool:
+    """Whether the stage's last attempt finished, on the results that are valid now, all of them done themselves."""
+    log = _log(spark, settings, stage)
+    if not log or log[-1]["state"] != DONE or not all(_is_done(spark, settings, needed) for needed in REQUIRES[stage]):
+        return False
+    reads = {needed: _finished_attempt(spark, settings, needed) for needed in REQUIRES[stage]}
+    return log[-1]["inputs"] == _inputs(settings, stage, reads)
+
+
+def release_attempts(spark: SparkSession, settings: Settings) -> int:
+    """Delete what older and unfinished attempts of the run stored; for its owner, while no stage runs."""
+    gone = 0
+    for stage in STAGES:
+        log = _log(spark, settings, stage)
+        valid = (_finished(log) or {}).get("attempt")
+        for attempt in {entry["attempt"] for entry in log} - {valid}:
+            gone += ledger.delete_folder(spark, settings.folder(stage, attempt))
+    return gone
+
+
+def _ingest(spark: SparkSession, at: Attempt) -> DataFrame:
+    settings = at.settings
     raw = settings.source(spark)
     stored = spark.read.parquet(snapshot(raw, f"{settings.base}/feature_store", settings.run_id))
     # Columns that do not belong stay in, for the checks of the next stage to report.
     raw = stored.drop("run_id")
-    write_report(coercion_losses(raw, settings.contract, settings.key), settings.path("lost_values"))
+    write_report(coercion_losses(raw, settings.contract, settings.key), at.path("lost_values"))
     typed = normalise_nulls(coerce(raw, settings.contract))
     is_test = in_test_sample(typed, settings.key, settings.test_ratio, settings.seed, settings.exact_split)
-    write_sides(typed, is_test, settings.path("samples"))
-    samples = [(side, _sample(spark, settings, side)) for side in ("train", "test")]
-    _finish(settings, "ingest", sample_metrics(samples))
+    write_sides(typed, is_test, at.path("samples"))
+    return sample_metrics([(side, at.sample(side)) for side in ("train", "test")])
 
 
-def _analyse(spark: SparkSession, settings: Settings) -> None:
-    names = settings.contract.names
-    train, test = (_sample(spark, settings, side).select(*names) for side in ("train", "test"))
-    write_report(analysis_report(train, test, settings.contract), settings.path("analysis_report"))
+def _analyse(spark: SparkSession, at: Attempt) -> DataFrame:
+    contract = at.settings.contract
+    train, test = (at.sample(side).select(*contract.names) for side in ("train", "test"))
+    write_report(analysis_report(train, test, contract), at.path("analysis_report"))
     for side, df in (("train", train), ("test", test)):
-        write_csv(winsorise(df, WINSORISED), settings.path(f"{side}_cleaned"), "overwrite")
-    _finish(settings, "analyse", stage_metrics("analyse", {"completed": 1.0}, spark))
+        write_csv(winsorise(df, WINSORISED), at.path(f"{side}_cleaned"))
+    return stage_metrics("analyse", {"completed": 1.0}, spark)
 
 
-def _validate(spark: SparkSession, settings: Settings) -> None:
-    train, test = (_sample(spark, settings, side).drop(settings.key) for side in ("train", "test"))
+def _validate(spark: SparkSession, at: Attempt) -> DataFrame:
+    settings = at.settings
+    train, test = (at.sample(side).drop(settings.key) for side in ("train", "test"))
 
     def drifted(ref: DataFrame, cur: DataFrame) -> bool:
         if settings.drift_method == "basic":
             rows = basic_drift(ref, cur, settings.contract)
         else:
             rows = dataset_drift(ref, cur, settings.contract, settings.drift_rules)
-        write_report(rows, settings.path("drift_report"))
-        stored = spark.read.schema(rows.schema).json(settings.path("drift_report"))
+        write_report(rows, at.path("drift_report"))
+        stored = spark.read.schema(rows.schema).json(at.path("drift_report"))
         return stored.first()["dataset_drift"]
 
     result = validate(train, test, settings.contract, drifted)
-    write_report(validation_rows(result, train, test), settings.path("validation_report"))
+    write_report(validation_rows(result, train, test), at.path("validation_report"))
     numbers = {"validation_status": result.status}
     if result.drift_detected is not None:
         numbers["drift_detected"] = result.drift_detected
-    _finish(settings, "validate", stage_metrics("validate", numbers, spark, {"message": result.message}))
+    return stage_metrics("validate", numbers, spark, {"message": result.message})
 
 
-def _transform(spark: SparkSession, settings: Settings) -> None:
-    stored = read_metrics(spark, settings, "validate")
+def _transform(spark: SparkSession, at: Attempt) -> DataFrame:
+    settings = at.settings
+    stored = _read_metrics(spark, at.input("validate"))
     outcome = Validation(stored["validation_status"] == 1.0, stored["message"], {})
-    train, test = (_sample(spark, settings, side) for side in ("train", "test"))
+    train, test = (at.sample(side) for side in ("train", "test"))
     train_matrix, test_matrix, encoder = build_matrices(
         train, test, settings.contract.target, settings.key, outcome)
-    write_matrix(train_matrix, settings.path("train_matrix"))
-    write_matrix(test_matrix, settings.path("test_matrix"))
-    encoder.write().overwrite().save(settings.path("encoder"))
+    write_matrix(train_matrix, at.path("train_matrix"))
+    write_matrix(test_matrix, at.path("test_matrix"))
+    encoder.write().overwrite().save(at.path("encoder"))
     numbers = {"features_count": len(encoder.feature_names())}
     for side in ("train", "test"):
-        numbers[f"{side}_rows"] = read_matrix(spark, settings.path(f"{side}_matrix")).count()
-    _finish(settings, "transform", stage_metrics("transform", numbers, spark))
+        numbers[f"{side}_rows"] = read_matrix(spark, at.path(f"{side}_matrix")).count()
+    return stage_metrics("transform", numbers, spark)
 
 
-def _train(spark: SparkSession, settings: Settings) -> None:
-    train, test = (read_matrix(spark, settings.path(f"{side}_matrix")) for side in ("train", "test"))
+def _train(spark: SparkSession, at: Attempt) -> DataFrame:
+    settings = at.settings
+    train, test = (read_matrix(spark, at.input(f"{side}_matrix")) for side in ("train", "test"))
     best, board = select_best(train, test, families(settings.grid), settings.key, settings.folds,
                               settings.select_by)
-    write_report(leaderboard(spark, board), settings.path("leaderboard"))
+    write_report(leaderboard(spark, board), at.path("leaderboard"))
     require_score(best, settings.expected_score)
-    encoder = ColumnTransformerModel.load(settings.path("encoder"))
-    save_model(bundle(encoder, best.model), settings.path("model"))
-    write_csv(residuals(best.model.transform(test)), settings.path("predictions"), "overwrite")
+    encoder = ColumnTransformerModel.load(at.input("encoder"))
+    save_model(bundle(encoder, best.model), at.path("model"))
+    write_csv(residuals(best.model.transform(test)), at.path("predictions"))
     numbers = {"r2_score": best.test_r2, "rmse": best.test_rmse, "mae": best.test_mae,
                "cv_r2": best.cv_r2, "feature_count": len(encoder.feature_names())}
-    _finish(settings, "train", stage_metrics(
-        "train", numbers, spark, {"best_model": best.family, "best_params": best.settings}))
+    return stage_metrics("train", numbers, spark, {"best_model": best.family, "best_params": best.settings})
 
 
-def _evaluate(spark: SparkSession, settings: Settings) -> None:
-    test = _sample(spark, settings, "test")
-    challenger = evaluate(load_model(settings.path("model")), test, settings.contract.target)
+def _evaluate(spark: SparkSession, at: Attempt) -> DataFrame:
+    settings = at.settings
+    test = at.sample("test")
+    challenger = evaluate(load_model(at.input("model")), test, settings.contract.target)
     champion = registry.load_champion(spark, settings.registry)
     theirs = None if champion is None else evaluate(champion, test, settings.contract.target)
-    decision = compare(challenger, theirs, settings.min_gain)
-    decision.write.mode("overwrite").parquet(settings.path("decision"))
-    row = spark.read.parquet(settings.path("decision")).first()
+    compare(challenger, theirs, settings.min_gain).write.parquet(at.path("decision"))
+    row = spark.read.parquet(at.path("decision")).first()
     numbers = {"is_model_accepted": row["accepted"], "changed_accuracy": row["difference"]}
-    _finish(settings, "evaluate", stage_metrics("evaluate", numbers, spark, {"reason": row["reason"]}))
+    return stage_metrics("evaluate", numbers, spark, {"reason": row["reason"]})
 
 
-def _promote(spark: SparkSession, settings: Settings) -> None:
-    decision = spark.read.parquet(settings.path("decision"))
+def _promote(spark: SparkSession, at: Attempt) -> DataFrame:
+    settings = at.settings
+    decision = spark.read.parquet(at.input("decision"))
     accepted = decision.first()["accepted"]
     # The run id is the version, so a repeated attempt does not publish twice.
     if accepted and not registry.is_present(spark, settings.registry, settings.run_id):
         registry.promote_if_accepted(
-            spark, settings.registry, decision, load_model(settings.path("model")), settings.run_id)
-    _finish(settings, "promote", stage_metrics("promote", {"promoted": accepted}, spark))
+            spark, settings.registry, decision, load_model(at.input("model")), settings.run_id)
+    return stage_metrics("promote", {"promoted": accepted}, spark)
 
 
 _RUN = {"ingest": _ingest, "analyse": _analyse, "validate": _validate, "transform": _transform,
@@ -250,18 +293,29 @@ def run_stage(spark: SparkSession, name: str, settings: Settings, force: bool =
     """Run one stage, first running whichever of its inputs are not stored or out of date.
 
     With ``force`` off a stage that is stored, and was made from what is stored now, is left as it is.
-    A stage that runs again makes all that read its results out of date.
+    A stage that runs again makes all that read its results out of date. An attempt that dies leaves the
+    results of the one before it in place, but the stage counts as not done.
     """
     for needed in REQUIRES[name]:
         run_stage(spark, needed, settings, force=False)
     if force or not _is_done(spark, settings, name):
-        _begin(spark, settings, name)
-        _RUN[name](spark, settings)
-    return _metric_rows(spark, [settings.path(f"metrics/{name}")])
+        # The promotion also reads the model that was evaluated.
+        reads = {stage: _finished_attempt(spark, settings, stage) for stage in STAGES if _reads(name, stage)}
+        at = Attempt(spark, settings, name, uuid.uuid4().hex, reads)
+        entry = {"attempt": at.name, "inputs": _inputs(settings, name, reads)}
+        ledger.append(spark, settings.log(name), lambda _: json.dumps({"state": BEGUN, **entry}))
+        metrics = _RUN[name](spark, at)
+        write_report(metrics.withColumn("stamped_at", iso_stamp()), at.path("metrics"))
+        ledger.append(spark, settings.log(name), lambda _: json.dumps({"state": DONE, **entry}))
+    return _metric_rows(spark, [result_path(spark, settings, f"metrics/{name}")])
+
+
+def _reads(stage: str, other: str) -> bool:
+    return any(needed == other or _reads(needed, other) for needed in REQUIRES[stage])
 
 
 def _metric_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.schema(METRIC_ROWS).json(paths).filter(~F.col("metric").isin(ATTEMPT, INPUTS))
+    return spark.read.schema(METRIC_ROWS).json(paths)
 
 
 def run_full(spark: SparkSession, settings: Settings, resume: bool = False) -> DataFrame:
@@ -276,5 +330,5 @@ def run_full(spark: SparkSession, settings: Settings, resume: bool = False) -> D
             if name != "analyse":
                 raise
             log.warning("analysis failed: %s", error)
-    done = [settings.path(f"metrics/{name}") for name in STAGES if _is_done(spark, settings, name)]
+    done = [result_path(spark, settings, f"metrics/{name}") for name in STAGES if _is_done(spark, settings, name)]
     return _metric_rows(spark, done)

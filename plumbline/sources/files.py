@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import whole_number
-from plumbline.sources import csv_records
+from plumbline.sources import csv_records, ledger
 
 # Texts that stand for a missing cell in a CSV file.
 NULL_TOKENS = [
@@ -92,10 +93,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def snapshot(df: DataFrame, base: str, run_id: str) -> str:
     """Store a raw table under its run; returns the path of this run's rows.
 
-    A run writes only its own folder, so a repeated attempt replaces its own rows.
+    A run writes only its own folder, so a repeated attempt replaces its own rows, and only once it has them all.
     """
     path = f"{base}/run_id={run_id}"
-    df.write.mode("overwrite").parquet(path)
+    draft = f"{base}/.draft-{uuid.uuid4().hex}"
+    df.write.parquet(draft)
+    ledger.replace_folder(df.sparkSession, draft, path)
     return path
 
 

@@ -1,7 +1,12 @@
-"""Append-only model registry; the champion is the newest accepted version."""
+"""Append-only model registry; the champion is the newest accepted version.
+
+Every version is an entry of a ledger, so of publishers at one time each gets a position of its own, and a
+version becomes visible at once with its model complete.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -10,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.shared import literal_rows
+from plumbline.sources import ledger
 from plumbline.sources.files import load_model, save_model
 
 SCHEMA = ("version string, path string, r2 double, rmse double, mae double, accepted boolean, "
@@ -19,7 +25,7 @@ SCHEMA = ("version string, path string, r2 double, rmse double, mae double, acce
 def versions(spark: SparkSession, base: str) -> DataFrame:
     """All registered versions; none when nothing was published yet."""
     try:
-        return spark.read.schema(SCHEMA).parquet(f"{base}/versions")
+        return spark.read.schema(SCHEMA).json(f"{base}/versions")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -43,17 +49,26 @@ def publish(
     spark: SparkSession, base: str, model: PipelineModel, r2: float, rmse: float, mae: float,
     accepted: bool = True, version: str | None = None,
 ) -> str:
-    """Save the model under a new version, then append the line that makes it visible."""
+    """Save the model in a folder of its own, then append the entry that makes it visible.
+
+    A version that is already published is an error, also when somebody else publishes it at the same time.
+    """
     version = version or uuid.uuid4().hex
-    known = versions(spark, base).agg(
-        F.coalesce(F.max("position"), F.lit(0)).alias("last"),
-        F.coalesce(F.bool_or(F.col("version") == version), F.lit(False)).alias("taken")).first()
-    if known["taken"]:
-        raise ValueError(f"version {version!r} is already published")
-    path = f"{base}/models/{version}"
+    path = f"{base}/models/{version}-{uuid.uuid4().hex}"
+    numbers = {"r2": float(r2), "rmse": float(rmse), "mae": float(mae)}
+
+    def entry(before: list[str]) -> str:
+        if any(json.loads(text)["version"] == version for text in before):
+            raise ValueError(f"version {version!r} is already published")
+        return json.dumps({"version": version, "path": path, **numbers, "accepted": accepted, "position": len(before) + 1})
+
+    entry(ledger.entries(spark, f"{base}/versions"))
     save_model(model, path)
-    row = (version, path, float(r2), float(rmse), float(mae), accepted, known["last"] + 1)
-    literal_rows(spark, SCHEMA, [row]).coalesce(1).write.mode("append").parquet(f"{base}/versions")
+    try:
+        ledger.append(spark, f"{base}/versions", entry)
+    except ValueError:
+        ledger.delete_folder(spark, path)
+        raise
     return version
 
 
