@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import join_groups, quoted, row_key, store
@@ -23,8 +23,10 @@ BINS = BANDS * BINS_PER_BAND
 PROBES = 6
 #: Edges of one centre that are confirmed with one copy of its set.
 EDGES_PER_COPY = 1000
-#: Centres that a bucket may have in one round, at most; more rounds follow until none is left.
-MOST_CENTRES = 1024
+#: Nodes whose keys are broadcast to find their texts; with more of them the texts are shuffled.
+MOST_BROADCAST = 1_000_000
+#: Bits of a set's parities, rows of a bucket that one task compares with as many others, and of those at once.
+PARITIES, BLOCK_ROWS, ROWS_AT_ONCE = 2048, 2048, 32
 #: Word hashes that a task remembers.
 REMEMBERED_WORDS = 1 << 20
 
@@ -89,6 +91,13 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Whether each of ``PARITIES`` parts of a set has an odd number of hashes. Where two sets differ in this, they
+    differ in a hash at least: so the differing bits are never more than the differing hashes."""
+    counts = np.bincount((hashes & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits(counts.astype(np.uint8) & 1).tobytes()
+
+
 def _sketched(id_type: pa.DataType):
     schema = pa.schema([("doc_id", id_type), ("row_key", pa.binary()), ("n", pa.int64()), ("class", pa.binary()),
                         ("bands", pa.list_(pa.int64()))])
@@ -111,8 +120,10 @@ def _sketched(id_type: pa.DataType):
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[bytes, int] = {}
     for batch in batches:
-        sets = [shingles(text.as_py(), known).view(np.int64) for text in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+        sets = [shingles(text.as_py(), known) for text in batch.column(1)]
+        bits = pa.array([parities(s) for s in sets], pa.binary())
+        full = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), full, bits], names=["node", "set", "parity"])
 
 
 def confirmed(edges: DataFrame, sets: DataFrame, total: int) -> DataFrame:
@@ -132,46 +143,133 @@ def confirmed(edges: DataFrame, sets: DataFrame, total: int) -> DataFrame:
     return members.join(centres, ["a", "part"]).where(100 * common >= SIMILARITY * union).select("a", "b")
 
 
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """Buckets ``(bucket, count)`` whose nodes are not all connected."""
+    ends = F.count("*").alias("count"), F.min("root").alias("low"), F.max("root").alias("high")
+    return rows.groupBy("bucket").agg(*ends).where("low <> high").select("bucket", "count")
+
+
+def _fitting(a: str, b: str) -> Column:
+    return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
+
+
+def first_stars(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links ``(a, b)`` of one star per bucket. Its centre is the node that has most company in all its
+    buckets, for around a text that others were made from it is the one that most of them are similar to."""
+    company = members.groupBy("node").agg(F.sum("count").alias("company"))
+    rows = store(members.join(company, "node"), "company")
+    best = F.max_by(F.struct("node", "n"), F.struct("company", -F.col("node"))).alias("c")
+    centres = store(rows.groupBy("bucket").agg(best, F.count("*").alias("times")), "centres")
+    edges = (join_groups(rows.drop("count"), centres, ["bucket"], "times", max(1, rows.count()))
+             .where((F.col("c.node") != F.col("node")) & _fitting("n", "c.n"))
+             .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct())
+    edges = store(edges, "edges")
+    return store(confirmed(edges, sets, max(1, edges.count())), "links")
+
+
+def _pairs(group: pa.Table, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of two components in one bucket that can be similar enough by their sizes and parities.
+
+    The largest component is not compared with itself. With ``best_only`` a node keeps one node of each other component,
+    the one that differs least.
+    """
+    node, n, root, side = (group.column(c).to_numpy() for c in ("node", "n", "root", "side"))
+    bits = np.frombuffer(b"".join(group.column("parity").to_pylist()), np.uint64).reshape(len(node), -1)
+    kinds, which, sizes = np.unique(root, return_inverse=True, return_counts=True)
+    others = np.flatnonzero(which != np.argmax(sizes))
+    place = np.full(len(node), -1)
+    place[others] = np.arange(len(others))
+    across = side.max() > 0
+    left, right = [], []
+    for at in range(0, len(others), ROWS_AT_ONCE):
+        some = others[at:at + ROWS_AT_ONCE]
+        fits = which[some, None] != which
+        fits &= 100 * np.minimum(n[some, None], n) >= SIMILARITY * np.maximum(n[some, None], n)
+        fits &= side[some, None] != side if across else place[some, None] > place
+        a, b = np.nonzero(fits)
+        apart = np.bitwise_count(bits[some[a]] ^ bits[b]).sum(axis=1, dtype=np.int64)
+        # Of sets at the least similarity s, at most (1 - s) / (1 + s) of all their hashes differ.
+        good = (100 + SIMILARITY) * apart <= (100 - SIMILARITY) * (n[some[a]] + n[b])
+        a, b, apart = some[a[good]], b[good], apart[good]
+        if best_only and len(a):
+            order = np.lexsort((b, apart, which[b], a))
+            a, b = a[order], b[order]
+            first = np.r_[True, (a[1:] != a[:-1]) | (which[b[1:]] != which[b[:-1]])]
+            a, b = a[first], b[first]
+        left.append(node[a])
+        right.append(node[b])
+    empty = np.empty(0, np.int64)
+    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+
+
+def _comparer(best_only: bool):
+    keys = ["bucket", "first", "second"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compared(parts):
+            a, b = _pairs(pa.Table.from_batches(parts), best_only)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        held, last = [], None
+        for batch in batches:
+            values = np.stack([batch.column(c).to_numpy() for c in keys])
+            edges = np.flatnonzero(np.r_[True, (values[:, 1:] != values[:, :-1]).any(axis=0)]) if batch.num_rows else []
+            for low, high in zip(edges, [*edges[1:], batch.num_rows]):
+                key = tuple(values[:, low])
+                if held and key != last:
+                    yield compared(held)
+                    held = []
+                held.append(batch.slice(low, high - low))
+                last = key
+        if held:
+            yield compared(held)
+    return run
+
+
+def possible_edges(rows: DataFrame, best_only: bool) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of ``rows`` ``(bucket, node, n, root, parity)`` that share a bucket, belong to different
+    components, and may be similar enough. A bucket of many rows is cut into blocks, and each pair of blocks is a group of
+    its own, so that a task never holds more than two blocks of one bucket."""
+    still = store(_open(rows), "open")
+    total = still.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    blocks = F.ceil(F.col("count") / BLOCK_ROWS).cast("int")
+    dealt = join_groups(rows, still, ["bucket"], "count", max(1, total))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
+                         (F.col("own") > F.col("other")).cast("byte").alias("side"), "node", "n", "root", "parity")
+    keys = ["bucket", "first", "second"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_comparer(best_only), "a long, b long").distinct()
+
+
 def connected(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links ``(a, b)`` that connect all nodes with a common bucket and similar sets, and each node's ``root``.
 
-    ``members`` holds ``(bucket, node, n)``. In each round every bucket sends edges from a few centres to its
-    other nodes only, one star in the first round and twice as many in each later one. A node that was a centre has
-    been compared with its whole bucket and leaves it; a bucket whose nodes are all connected is done. So no
-    pair of a bucket stays untested unless its two nodes already belong together.
+    ``members`` holds ``(bucket, node, n, count)``, the count of the bucket; ``sets`` has ``(node, set, parity)``. The first
+    edges make one star per bucket. In buckets that are not connected then, nodes of different components are compared by
+    their parities inside the tasks: first each node is linked with the nearest of every other component if that
+    is confirmed, then all pairs that are left and possible are confirmed. So no pair of a bucket
+    stays untested unless its two nodes already belong together, or parities show that they are not similar.
     """
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tried, roots = links, spark.createDataFrame([], "node long, root long")
-    rows, turn = members.withColumn("root", F.col("node")), 0
-    while True:
-        salt = F.pmod(F.xxhash64("node"), F.lit(min(1 << turn, MOST_CENTRES)))
-        centres = (rows.groupBy("bucket", salt.alias("salt"))
-                   .agg(F.min(F.struct("node", "root", "n")).alias("centre"), F.min("root").alias("low"),
-                        F.max("root").alias("high"), F.count("*").alias("count"))
-                   .groupBy("bucket").agg(F.collect_list("centre").alias("centres"), F.min("low").alias("low"),
-                                          F.max("high").alias("high"), F.sum("count").alias("count"))
-                   .where("low <> high").select("bucket", "centres", "count"))
-        centres = store(centres, "centres")
-        if centres.isEmpty():
+    links = first_stars(members, sets)
+    roots = components(links, "a", "b")
+    bits = sets.select("node", "parity")
+    for best_only in (True, False):
+        rows = _labelled(members.drop("count"), roots)
+        rows = rows.join(_open(rows).drop("count"), "bucket", "left_semi")
+        rows = store(rows.join(bits, "node").select("bucket", "node", "n", "root", "parity"), "unsettled")
+        edges = store(possible_edges(rows, best_only), "edges")
+        count = edges.count()
+        if not count:
             break
-        state = join_groups(rows, centres, ["bucket"], "count", max(1, rows.count()))
-        state = store(state.select("bucket", "node", "n", "root", "centres"), "stars")
-        edges = state.select("node", "n", "root", F.explode("centres").alias("c"))
-        fitting = 100 * F.least("n", "c.n") >= SIMILARITY * F.greatest("n", "c.n")
-        edges = (edges.where((F.col("c.root") != F.col("root")) & fitting)
-                 .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct())
-        seen = tried.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        edges = edges.join(seen, (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y")), "left_anti")
-        edges = store(edges, "edges")
-        tried, total = tried.union(edges), edges.count()
-        found = store(confirmed(edges, sets, total), "links") if total else links.limit(0)
+        found = store(confirmed(edges, sets, count), "links")
         if not found.isEmpty():
-            links = links.union(found)
+            links = store(links.union(found), "links")
             roots = components(links, "a", "b")
-        rows = state.where(~F.exists("centres", lambda c: c["node"] == F.col("node"))).drop("root", "centres")
-        rows = rows.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        turn += 1
     return links, roots
 
 
@@ -199,12 +297,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     total = max(1, classes.count())
-    shared = members.groupBy("bucket").agg(F.count("*").alias("count")).where("count > 1")
-    members = store(join_groups(members, shared, ["bucket"], "count", total * BANDS).select("bucket", "node", "n"), "buckets")
+    shared = store(members.groupBy("bucket").agg(F.count("*").alias("count")).where("count > 1"), "shared")
+    members = store(join_groups(members, shared, ["bucket"], "count", total * BANDS), "buckets")
     # The texts of nodes in a bucket with others are read again for their full sets; repeated rows give one.
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("row_key", "node", "copies")
-    texts = join_groups(keyed.select("row_key", "text"), wanted, ["row_key"], "copies", total)
-    sets = texts.select("node", "text").mapInArrow(_full_sets, "node long, set array<long>").dropDuplicates(["node"])
+    wanted = store(wanted, "wanted")
+    if wanted.count() <= MOST_BROADCAST:
+        texts = keyed.select("row_key", "text").join(F.broadcast(wanted), "row_key")
+    else:
+        texts = join_groups(keyed.select("row_key", "text"), wanted, ["row_key"], "copies", total)
+    sets = texts.select("node", "text").mapInArrow(_full_sets, "node long, set array<long>, parity binary").dropDuplicates(["node"])
     _, roots = connected(members, store(sets, "sets"))
     named = (classes.join(roots, "node", "left")
              .select("class", "copies", "least_id", F.coalesce("root", "node").alias("group")))

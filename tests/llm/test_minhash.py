@@ -95,6 +95,8 @@ def rows():
 def test_equals_all_pairs_with_hot_and_cold_groups(spark, rows, monkeypatch, share):
     monkeypatch.setattr(common, "HOT_KEYS", share)
     monkeypatch.setattr(minhash, "EDGES_PER_COPY", 7)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 4 if share == 0.02 else 2048)
+    monkeypatch.setattr(minhash, "MOST_BROADCAST", 0 if share == 0.9 else 1_000_000)
     assert found(spark, rows) == wanted(rows)
 
 
@@ -106,23 +108,47 @@ def test_query_equals_all_pairs(spark, sf_dir):
     assert got == wanted(docs) and any(i != c for i, _, c in got)
 
 
+def with_sets(spark, sets):
+    rows = [(k, [int(x) for x in v], bytearray(minhash.parities(np.array(list(v), np.uint64)))) for k, v in sets.items()]
+    return spark.createDataFrame(rows, "node long, set array<long>, parity binary")
+
+
+def test_parities_never_differ_more_than_sets():
+    rng = np.random.default_rng(2)
+    for size in (5, 150, 3000):
+        a, b = (np.unique(rng.integers(0, 1 << 62, size).astype(np.uint64)) for _ in range(2))
+        b = np.unique(np.r_[a[: 9 * size // 10], b[: size // 10]])
+        bits = [np.frombuffer(minhash.parities(x), np.uint64) for x in (a, b)]
+        apart = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
+        assert 0.7 * len(np.setxor1d(a, b)) <= apart <= len(np.setxor1d(a, b))
+
+
 def test_no_link_is_lost_where_the_centre_is_far(spark):
     """In one bucket for all, the first centre is close to nobody, and the others hang together in two groups."""
     sets = {0: range(100), 1: range(200, 300), 2: range(205, 305), 3: range(210, 310), 4: range(400, 500), 5: range(402, 502)}
-    full = spark.createDataFrame([(k, list(v)) for k, v in sets.items()], "node long, set array<long>")
-    members = spark.createDataFrame([(1, k, 100) for k in sets], "bucket long, node long, n long")
-    links = {tuple(sorted(r)) for r in minhash.connected(members, full)[0].collect()}
-    assert {(1, 2), (2, 3), (4, 5)} <= links and all(a > 0 and (b <= 3) == (a <= 3) for a, b in links)
+    full = with_sets(spark, sets)
+    members = spark.createDataFrame([(1, k, 100, 6) for k in sets], "bucket long, node long, n long, count long")
+    links, roots = minhash.connected(members, full)
+    assert {tuple(sorted(r)) for r in links.collect()} <= {(1, 2), (2, 3), (1, 3), (4, 5)}
+    assert {r.node: r.root for r in roots.collect()} == {2: 1, 3: 1, 5: 4}
 
 
 def test_edges_of_a_star_grow_with_its_nodes(spark):
     """One bucket of many equal-sized, connected nodes: one edge per node, not one per pair."""
     n = 400
-    full = spark.range(n).selectExpr("id as node", "array_append(sequence(0L, 99L), 1000 + id) as set")
-    members = spark.range(n).selectExpr("1L as bucket", "id as node", "101L as n")
+    full = with_sets(spark, {i: [*range(100), 1000 + i] for i in range(n)})
+    members = spark.range(n).selectExpr("1L as bucket", "id as node", "101L as n", f"{n}L as count")
     assert minhash.connected(members, full)[0].count() == n - 1
 
 
+def test_the_centre_of_a_first_star_has_most_company(spark):
+    """Node 7 shares every bucket, the others one each: all edges of the first star go out from it."""
+    full = with_sets(spark, {i: range(100) for i in range(20)})
+    rows = [(b, k, 100, 2) for b in range(20) for k in {b, 7}]
+    members = spark.createDataFrame(rows, "bucket long, node long, n long, count long")
+    assert {tuple(r) for r in minhash.first_stars(members, full).collect()} == {(7, b) for b in range(20) if b != 7}
+
+
 def test_signatures_agree_as_often_as_sets_do():
     rng = np.random.default_rng(1)
     for size, shared in ((7, 6), (40, 36), (3000, 2700)):
