@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from plumbline.shared import literal_rows, melt, tall
 SMALL_SAMPLE = 1000
 FEW_VALUES = 5
 P_VALUE = 0.05
+#: Values of the larger sample up to which the p-value of the Kolmogorov-Smirnov test is exact.
+EXACT_SIZE = 1000
 DISTANCE = 0.1
 DRIFT_SHARE = 0.5
 STD_FLOOR = 0.001
@@ -207,11 +210,15 @@ def ks_statistic(
 
 def ks(
     ref: DataFrame, cur: DataFrame, cols: Sequence[str], p_value: float = P_VALUE,
-    bucket_values: int = BUCKET_VALUES,
+    bucket_values: int = BUCKET_VALUES, exact_size: int = EXACT_SIZE,
 ) -> DataFrame:
-    """Kolmogorov-Smirnov test with the asymptotic p-value."""
-    rows = [(r["column_name"], r["statistic"], kolmogorov_sf(r["statistic"], r["n_ref"], r["n_cur"]))
-            for r in ks_statistic(ref, cur, cols, bucket_values).collect()]
+    """Kolmogorov-Smirnov test; the p-value is exact where neither sample has more than ``exact_size`` values, and
+    asymptotic beyond. As for any test of this kind ties make the p-value too large."""
+    def tail(r) -> float:
+        small = r["statistic"] is not None and 0 < min(r["n_ref"], r["n_cur"]) and max(r["n_ref"], r["n_cur"]) <= exact_size
+        return (smirnov_sf if small else kolmogorov_sf)(r["statistic"], r["n_ref"], r["n_cur"])
+
+    rows = [(r["column_name"], r["statistic"], tail(r)) for r in ks_statistic(ref, cur, cols, bucket_values).collect()]
     return literal_rows(
         ref.sparkSession, "column_name string, statistic double, p_value double, drifted boolean",
         [(col, d, p, p < p_value) for col, d, p in rows])
@@ -371,6 +378,26 @@ def kolmogorov_sf(statistic: float, n_ref: int, n_cur: int) -> float:
     return min(max(tail, 0.0), 1.0)
 
 
+def smirnov_sf(statistic: float, n_ref: int, n_cur: int) -> float:
+    """Exact tail probability of the two-sample statistic without ties.
+
+    Each order of all values is a lattice path from (0, 0) to (n_ref, n_cur). Of the paths to a point, the
+    share that has been ``statistic`` away from the diagonal follows from the two points before it; the
+    points with one sum of coordinates are worked out together. Only shares are added, so small tails keep their digits.
+    """
+    far = round(statistic * n_ref * n_cur)  # gaps are whole multiples of 1 / (n_ref * n_cur)
+    i = np.arange(n_ref + 1)
+    share = np.zeros(n_ref + 1)
+    for both in range(n_ref + n_cur + 1):
+        j = both - i
+        if both:
+            last = np.r_[0.0, share[:-1]]  # the last value came from the reference
+            share = (last * i + share * np.maximum(j, 0)) / both
+        inside = (j >= 0) & (j <= n_cur)
+        share = np.where(inside & (np.abs(i * n_cur - j * n_ref) >= far), 1.0, np.where(inside, share, 0.0))
+    return float(min(max(share[n_ref], 0.0), 1.0))
+
+
 def chi_square_sf(statistic: float, freedom: int) -> float:
     """Tail probability of the chi-square distribution: the upper incomplete gamma function, by its
     series below the mean and by its continued fraction above; the steps don't grow with the categories."""

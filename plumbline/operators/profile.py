@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ def _null_text() -> Column:
 
 # Pairs of columns in one aggregate, which keeps its generated code small.
 PAIRS_PER_SCAN = 120
+# Columns on either side of one scan for masked sums; a task holds six numbers per pair.
+WIDEST = 1000
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -183,14 +187,19 @@ def _pearson(x: str, y: str) -> Column:
 def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column_x, column_y, corr)`` for every ordered pair, over the rows that have both values.
 
-    Up to ``PAIRS_PER_SCAN`` pairs take one scan. More columns take two if no cell is missing, one to see that and one for
-    their covariance matrix, which each task sums and a tree adds up; with missing cells each
-    ``PAIRS_PER_SCAN`` pairs are a scan.
+    Up to ``PAIRS_PER_SCAN`` pairs take one scan. More columns take two: one to see whether a cell is missing, and one for
+    their covariance matrix, or with missing cells for masked sums of products of up to ``WIDEST`` columns with as many
+    others, which each task adds up for its rows.
     """
     cols = list(cols or columns_by_type(df, "numeric"))
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    if len(pairs) > PAIRS_PER_SCAN and _is_complete(df, cols):
-        return _correlation_matrix(df, cols)
+    if len(pairs) > PAIRS_PER_SCAN:
+        rows, holes, means = _first_scan(df, cols)
+        if rows > 1 and not holes:
+            return _correlation_matrix(df, cols)
+        blocks = list(chunks(cols, WIDEST))
+        return reduce(DataFrame.unionByName, [
+            _masked_correlation(df, left, right, means) for left in blocks for right in blocks])
     parts = []
     for group in chunks(pairs, PAIRS_PER_SCAN):
         one = df.agg(*[_pearson(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in group])
@@ -203,11 +212,59 @@ def correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _is_complete(df: DataFrame, cols: Sequence[str]) -> bool:
-    """Whether the table has rows and no cell of these columns is missing."""
-    holes = [F.col(col).isNull() | F.isnan(F.col(col).cast("double")) for col in cols]
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.exists(F.array(*holes), lambda hole: hole)).alias("hole")).first()
-    return row["n"] > 1 and not row["hole"]
+def _numbers(cols: Sequence[str]) -> Column:
+    """The cells of a row as an array of doubles, missing ones null."""
+    cells = [F.col(col).cast("double") for col in cols]
+    return F.array(*[F.when(~F.isnan(cell), cell) for cell in cells])
+
+
+def _first_scan(df: DataFrame, cols: Sequence[str]) -> tuple[int, bool, dict[str, float]]:
+    """Number of rows, whether a cell is missing, and the mean of each column."""
+    cells = F.col("cells")
+    row = df.select(_numbers(cols).alias("cells")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_or(F.exists(cells, F.isnull)), F.lit(False)).alias("holes"),
+        F.array(*[F.avg(cells[i]) for i in range(len(cols))]).alias("means")).first()
+    return row["n"], row["holes"], {col: mean or 0.0 for col, mean in zip(cols, row["means"])}
+
+
+def _masked_sums(left: int, shift: np.ndarray):
+    """Sums over a task's rows for each column on the left with each on the right, over the rows that have both: how many,
+    the sums of either, of their squares, and of their products; one output row per column on the left."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, left, len(shift) - left))
+        for batch in batches:
+            cells = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(shift)) - shift
+            there = ~np.isnan(cells)
+            cells[~there] = 0.0
+            mask = there.astype(float)
+            (x, y), (m, k) = np.split(cells, [left], axis=1), np.split(mask, [left], axis=1)
+            for at, (a, b) in enumerate(((m, k), (x, k), (m, y), (x * x, k), (m, y * y), (x, y))):
+                total[at] += a.T @ b
+        sums = pa.array(list(total.transpose(1, 0, 2).reshape(left, -1)), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(range(left), pa.int32()), sums], names=["at", "sums"])
+    return run
+
+
+def _masked_correlation(df: DataFrame, left: Sequence[str], right: Sequence[str], means: Mapping[str, float]) -> DataFrame:
+    """Correlation of each column on the left with each on the right in one scan, shifted by their means.
+
+    Values whose spread in the common rows is below a millionth of their distance from the mean count as constant.
+    """
+    cols = [*left, *right]
+    shift = np.array([means[col] for col in cols])
+    parts = df.select(_numbers(cols).alias("cells")).mapInArrow(_masked_sums(len(left), shift), "at int, sums array<double>")
+    summed = parts.groupBy("at").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    names = F.array(*[F.lit(col) for col in right])
+    kinds = [F.slice("sums", 1 + i * len(right), len(right)) for i in range(6)]
+    cells = F.arrays_zip(names.alias("column_y"), *[kind.alias(name) for kind, name in zip(kinds, ("n", "x", "y", "xx", "yy", "xy"))])
+    rows = summed.select(F.element_at(F.array(*[F.lit(col) for col in left]), F.col("at") + 1).alias("column_x"), F.inline(cells))
+    spreads = []
+    for one, square in (("x", "xx"), ("y", "yy")):
+        spread = F.col("n") * F.col(square) - F.col(one) * F.col(one)
+        spreads.append(F.when(spread > F.col("n") * F.col(square) * 1e-12, spread))
+    same = F.col("column_x") == F.col("column_y")
+    together = (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(spreads[0]) / F.sqrt(spreads[1])
+    return rows.select("column_x", "column_y", F.when(same & spreads[0].isNotNull(), 1.0).otherwise(together).alias("corr"))
 
 
 def _correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

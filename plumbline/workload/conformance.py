@@ -9,7 +9,7 @@ from plumbline.functions.derived import add_features, log_target, unlog
 from plumbline.operators import contract as c
 from plumbline.operators.drift import basic_drift
 from plumbline.operators.encode import ColumnTransformer, build_matrices, fit_scaler
-from plumbline.operators.split import add_fold, train_test
+from plumbline.operators.split import add_contiguous_fold, add_fold, train_test
 from plumbline.sources.files import named_matrix
 from plumbline.workload.fixtures import NAMES, insured, insured_dirty, insured_shifted, requests, rounded, sql, table
 from plumbline.workload.profiling import missing_report_sql, shape_report_sql
@@ -208,3 +208,9 @@ def split_by_threshold(spark, sf_dir):
   AS INTEGER) AS fold FROM insured"""))
 def folds(spark, sf_dir):
     return add_fold(insured(spark, sf_dir).select("id"), "id")
+
+
+@query(sql("SELECT id, (ntile(7) OVER (ORDER BY id) - 1)::INT AS fold FROM insured"))
+def contiguous_folds(spark, sf_dir):
+    """Blocks of neighbouring keys; sizes differ by a row at most."""
+    return add_contiguous_fold(insured(spark, sf_dir).select("id"), "id", 7)

@@ -212,6 +212,27 @@ def ks_test(spark, sf_dir):
     return rounded(rounded(drift_tests.ks(train, test, NUMERIC), 9, ["statistic"]), 6, ["p_value"])
 
 
+SUPPLIER_SIDES = """a AS (SELECT * FROM supplier WHERE s_nationkey < 12), b AS (SELECT * FROM supplier WHERE s_nationkey >= 12)"""
+
+
+@query(f"""WITH RECURSIVE {SUPPLIER_SIDES},
+k AS (SELECT column_name, ks, n_ref::BIGINT AS n, n_cur::BIGINT AS m, round(ks * n_ref * n_cur)::BIGINT AS far
+  FROM ({curve_sql('a', 'b', ['s_acctbal'])}) c),
+walk AS (
+  SELECT column_name, 0::BIGINT AS s, [CASE WHEN i = 0 AND far <= 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR i IN range(0, n + 1)] AS share FROM k
+  UNION ALL
+  SELECT w.column_name, s + 1, [CASE WHEN s + 1 - i < 0 OR s + 1 - i > m THEN 0.0::DOUBLE WHEN abs(i * m - (s + 1 - i) * n) >= far THEN 1.0::DOUBLE
+    ELSE ((CASE WHEN i > 0 THEN share[i] ELSE 0.0::DOUBLE END) * i + share[i + 1] * (s + 1 - i)) / (s + 1) END FOR i IN range(0, n + 1)]
+  FROM walk w JOIN k ON w.column_name = k.column_name WHERE s < n + m)
+SELECT k.column_name, round(ks, 9) AS statistic, round(share[n + 1], 9) AS p_value, share[n + 1] < 0.05 AS drifted
+FROM k JOIN walk w ON k.column_name = w.column_name AND s = n + m""")
+def ks_exact_test(spark, sf_dir):
+    """Balances of suppliers in two groups of nations: samples small enough for the exact tail."""
+    suppliers = table(spark, sf_dir, "supplier")
+    found = drift_tests.ks(suppliers.filter("s_nationkey < 12"), suppliers.filter("s_nationkey >= 12"), ["s_acctbal"])
+    return rounded(found, 9)
+
+
 def wasserstein_sql(ref: str, cur: str, cols: list[str]) -> str:
     spread = union_sql(f"SELECT '{{c}}' AS column_name, stddev_pop({{c}}) AS std FROM {ref}", cols)
     return (f"SELECT column_name, area AS distance, area / greatest(std, 0.001) AS score, "

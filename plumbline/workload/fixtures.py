@@ -21,6 +21,7 @@ SCHEMAS = {
                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
     "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
 }
 
 

@@ -162,6 +162,22 @@ def correlation_lineitem(spark, sf_dir):
     return rounded(profile.correlation(table(spark, sf_dir, "lineitem"), LINE_NUMBERS))
 
 
+#: Sixteen columns of line items, each with its own gaps: more pairs than one aggregate takes.
+GAPPED = {
+    f"c{i}": f"CASE WHEN (l_orderkey + {7 * i}) % {3 + i} = 0 THEN NULL "
+             f"ELSE {LINE_NUMBERS[i % 4]} * {1 + i % 3} + l_linenumber * {i} + l_quantity * {i % 5} END" for i in range(16)}
+
+
+@query("SELECT x AS column_x, y AS column_y, round(c, 6) + 0.0::DOUBLE AS corr FROM (SELECT "
+       + ", ".join(f"corr({x}, {y}) AS {x}_{y}" for x in GAPPED for y in GAPPED)
+       + " FROM (SELECT " + ", ".join(f"{cell} AS {name}" for name, cell in GAPPED.items()) + " FROM lineitem) g) w, "
+       + "LATERAL (VALUES " + ", ".join(f"('{x}', '{y}', {x}_{y})" for x in GAPPED for y in GAPPED) + ") AS v(x, y, c)")
+def correlation_with_gaps(spark, sf_dir):
+    """A wide table with missing cells: masked sums in one scan behind the look for gaps."""
+    wide = table(spark, sf_dir, "lineitem").select(*[F.expr(cell).alias(name) for name, cell in GAPPED.items()])
+    return rounded(profile.correlation(wide))
+
+
 @query(sql(union_sql("SELECT '{c}' AS column_name, round(corr({c}, charges), 6) + 0.0::DOUBLE AS corr FROM insured",
                      NUMERIC)))
 def correlation_with_target(spark, sf_dir):

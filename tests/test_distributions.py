@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import drift, drift_tests, outliers, profile
 from plumbline.operators.contract import INSURED
@@ -223,13 +224,68 @@ def test_wide_correlation_by_matrix_and_by_pairs(spark, monkeypatch):
     cols = {f"c{i}": (rng.normal(size=80) + (i % 3)).tolist() for i in range(17)} | {"flat": [2.0] * 80}
     df = frame(spark, **cols)
     by_matrix = {(r.column_x, r.column_y): r.corr for r in profile.correlation(df).collect()}
-    monkeypatch.setattr(profile, "_is_complete", lambda *_: False)
+    monkeypatch.setattr(profile, "PAIRS_PER_SCAN", 1000)
     by_pairs = {(r.column_x, r.column_y): r.corr for r in profile.correlation(df).collect()}
     assert len(by_matrix) == 18 * 18 and by_matrix.keys() == by_pairs.keys()
     for key, value in by_pairs.items():
         assert by_matrix[key] == (None if value is None else pytest.approx(value, abs=1e-9))
 
 
+@pytest.mark.parametrize("widest", [1000, 5])
+def test_wide_correlation_with_gaps_equals_the_pairs(spark, monkeypatch, widest):
+    monkeypatch.setattr(profile, "WIDEST", widest)
+    rng = np.random.default_rng(6)
+    cols = {f"c{i}": (1e6 * (i % 2) + rng.normal(size=90) * 10.0 ** (i % 4) + i).tolist() for i in range(16)}
+    cols |= {"flat": [1.1] * 90, "none": [None] * 90, "one": [7.0] + [None] * 89, "half": [0.1] * 45 + [0.2] * 45}
+    for i in range(16):
+        for j in rng.choice(90, 4 * i, replace=False):
+            cols[f"c{i}"][j] = None if j % 3 else float("nan")
+    cols["c0"] = [x if j < 45 else None for j, x in enumerate(cols["c0"])]  # "half" is constant beside it
+    df = frame(spark, **cols).repartition(4)
+    one_scan = profile._masked_correlation(df, list(cols), list(cols), {c: 0.0 for c in cols})
+    assert one_scan._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    masked = {(r.column_x, r.column_y): r.corr for r in profile.correlation(df).collect()}
+    monkeypatch.setattr(profile, "PAIRS_PER_SCAN", 1000)
+    # A NaN is a missing cell of a wide table; the aggregates of single pairs need it as null.
+    plain = df.select([F.when(~F.isnan(c), F.col(c)).alias(c) for c in df.columns])
+    pairs = {(r.column_x, r.column_y): r.corr for r in profile.correlation(plain).collect()}
+    assert masked.keys() == pairs.keys() and len(pairs) == 400
+    for key, value in pairs.items():
+        assert masked[key] == (None if value is None else pytest.approx(value, abs=1e-7)), key
+
+
+def test_exact_smirnov_tail_equals_an_enumeration():
+    from itertools import combinations
+
+    for n, m in ((1, 1), (2, 3), (4, 4), (5, 3), (6, 4)):
+        gaps = []
+        for ref in combinations(range(n + m), n):
+            i = j = top = 0
+            for place in range(n + m):
+                i, j = i + (place in ref), j + (place not in ref)
+                top = max(top, abs(i * m - j * n))
+            gaps.append(top)
+        for gap in sorted({0, *gaps}):
+            want = sum(g >= gap for g in gaps) / len(gaps)
+            assert drift_tests.smirnov_sf(gap / (n * m), n, m) == pytest.approx(want, rel=1e-12)
+
+
+def test_exact_and_asymptotic_tails_meet_and_small_tails_keep_digits():
+    for d in (0.05, 0.08, 0.12):
+        assert drift_tests.smirnov_sf(d, 900, 800) == pytest.approx(drift_tests.kolmogorov_sf(d, 900, 800), rel=0.2)
+    # Only the two orders that keep the samples apart reach 1.
+    assert drift_tests.smirnov_sf(1.0, 20, 20) == pytest.approx(2 / math.comb(40, 20), rel=1e-12)
+    assert drift_tests.smirnov_sf(0.0, 5, 5) == 1.0
+
+
+def test_the_named_size_decides_between_exact_and_asymptotic(spark):
+    ref, cur = frame(spark, age=[float(i) for i in range(9)]), frame(spark, age=[i + 4.5 for i in range(7)])
+    row = drift_tests.ks(ref, cur, ["age"]).first()
+    assert row.p_value == pytest.approx(drift_tests.smirnov_sf(row.statistic, 9, 7))
+    row = drift_tests.ks(ref, cur, ["age"], exact_size=8).first()
+    assert row.p_value == pytest.approx(drift_tests.kolmogorov_sf(row.statistic, 9, 7))
+
+
 def test_missing_cells_keep_pairs_complete(spark):
     cols = {f"c{i}": [float((i + 1) * j % 7) for j in range(20)] for i in range(16)}
     cols["c3"][4] = None

@@ -8,7 +8,7 @@ from plumbline.functions.derived import AGE_EDGES, BMI_EDGES, add_features
 from plumbline.operators.encode import (
     ColumnTransformer, ColumnTransformerModel, build_matrices, fit_categories, fit_scaler, unprocessed_columns,
 )
-from plumbline.operators.split import add_fold, train_test
+from plumbline.operators.split import add_contiguous_fold, add_fold, train_test
 from plumbline.shared import literal_rows, scratch_path
 
 
@@ -119,3 +119,20 @@ def test_repeated_key_is_refused(spark):
 def test_folds_cover_every_row(insured):
     counts = add_fold(insured, "id").groupBy("fold").count().collect()
     assert {r.fold for r in counts} == set(range(5)) and sum(r["count"] for r in counts) == insured.count()
+
+
+@pytest.mark.parametrize("n, k", [(0, 5), (3, 5), (5, 5), (101, 5), (1000, 7)])
+def test_contiguous_folds_follow_the_order_of_the_key(spark, n, k):
+    rows = spark.range(n).selectExpr("id * 3 - 20 AS id").repartition(3)
+    folded = add_contiguous_fold(rows, "id", k, task_values=50)
+    assert not any(word in folded._jdf.queryExecution().executedPlan().toString() for word in ("Window", "Sort"))
+    got = [r.fold for r in folded.orderBy("id").collect()]
+    assert got == sorted(got)
+    assert [got.count(f) for f in range(k)] == [n // k + (f < n % k) for f in range(k)]
+
+
+def test_contiguous_folds_need_unique_keys(spark):
+    for values in ([1, 2, 2, 3], [1, None, 3, 4]):
+        rows = spark.createDataFrame([(v,) for v in values], "id long")
+        with pytest.raises(ValueError):
+            add_contiguous_fold(rows, "id", 2)
