@@ -138,6 +138,45 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+#: A report as one document: sections, in them columns, in them metrics. Rows without a column stand under the empty name.
+DOCUMENT = "map<string,map<string,map<string,struct<value:double,text:string>>>>"
+
+
+def nested(report: DataFrame) -> DataFrame:
+    """Report rows ``(section, column_name, metric, value, text)`` as one row with a ``document`` of nested maps.
+
+    A report has a few rows per column of the table it is about, whatever the size of the table. A metric that stands
+    twice in one place is an error.
+    """
+    def folded(df: DataFrame, keys: list[str], name: str, value: Column) -> DataFrame:
+        return df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col(name), value))).alias("inner"))
+
+    rows = report.withColumn("column_name", F.coalesce("column_name", F.lit("")))
+    rows = folded(rows, ["section", "column_name"], "metric", F.struct(F.col("value"), F.col("text")).alias("inner"))
+    rows = folded(rows, ["section"], "column_name", F.col("inner"))
+    return folded(rows, [], "section", F.col("inner")).select(F.col("inner").alias("document"))
+
+
+def flattened(documents: DataFrame) -> DataFrame:
+    """The rows of ``nested`` documents again."""
+    rows = documents.select(F.explode("document").alias("section", "columns"))
+    rows = rows.select("section", F.explode("columns").alias("column_name", "metrics"))
+    rows = rows.select("section", F.when(F.col("column_name") != "", F.col("column_name")).alias("column_name"),
+                       F.explode("metrics").alias("metric", "cell"))
+    return rows.select("section", "column_name", "metric", "cell.value", "cell.text")
+
+
+def write_document(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Report rows as one nested JSON document in one file."""
+    document = nested(report).select(F.to_json("document", {"pretty": "true"}).alias("value"))
+    document.coalesce(1).write.mode(mode).text(path)
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a nested report document."""
+    return flattened(spark.read.text(path, wholetext=True).select(F.from_json("value", DOCUMENT).alias("document")))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
