@@ -23,7 +23,7 @@ BINS = BANDS * BINS_PER_BAND
 PROBES = 6
 #: Edges of one centre that are confirmed with one copy of its set.
 EDGES_PER_COPY = 1000
-#: Nodes whose keys are broadcast to find their texts; with more of them the texts are shuffled.
+#: Groups that are broadcast to join them; with more of them the rows are shuffled, but for those of hot groups.
 MOST_BROADCAST = 1_000_000
 #: Bits of a set's parities, rows of a bucket that one task compares with as many others, and of those at once.
 PARITIES, BLOCK_ROWS, ROWS_AT_ONCE = 2048, 2048, 32
@@ -126,6 +126,13 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), full, bits], names=["node", "set", "parity"])
 
 
+def _join_stored(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join with a stored table of groups of small rows, by broadcast up to a number of them."""
+    if groups.count() <= MOST_BROADCAST:
+        return rows.join(F.broadcast(groups), keys)
+    return join_groups(rows, groups, keys, count, total)
+
+
 def confirmed(edges: DataFrame, sets: DataFrame, total: int) -> DataFrame:
     """The edges ``(a, b)`` whose full sets are similar enough; ``sets`` has ``(node, set)``.
 
@@ -164,7 +171,7 @@ def first_stars(members: DataFrame, sets: DataFrame) -> DataFrame:
     rows = store(members.join(company, "node"), "company")
     best = F.max_by(F.struct("node", "n"), F.struct("company", -F.col("node"))).alias("c")
     centres = store(rows.groupBy("bucket").agg(best, F.count("*").alias("times")), "centres")
-    edges = (join_groups(rows.drop("count"), centres, ["bucket"], "times", max(1, rows.count()))
+    edges = (_join_stored(rows.drop("count"), centres, ["bucket"], "times", max(1, rows.count()))
              .where((F.col("c.node") != F.col("node")) & _fitting("n", "c.n"))
              .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct())
     edges = store(edges, "edges")
@@ -237,7 +244,7 @@ def possible_edges(rows: DataFrame, best_only: bool) -> DataFrame:
     still = store(_open(rows), "open")
     total = still.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     blocks = F.ceil(F.col("count") / BLOCK_ROWS).cast("int")
-    dealt = join_groups(rows, still, ["bucket"], "count", max(1, total))
+    dealt = _join_stored(rows, still, ["bucket"], "count", max(1, total))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("bucket", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
@@ -298,14 +305,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     total = max(1, classes.count())
     shared = store(members.groupBy("bucket").agg(F.count("*").alias("count")).where("count > 1"), "shared")
-    members = store(join_groups(members, shared, ["bucket"], "count", total * BANDS), "buckets")
+    members = store(_join_stored(members, shared, ["bucket"], "count", total * BANDS), "buckets")
     # The texts of nodes in a bucket with others are read again for their full sets; repeated rows give one.
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("row_key", "node", "copies")
     wanted = store(wanted, "wanted")
-    if wanted.count() <= MOST_BROADCAST:
-        texts = keyed.select("row_key", "text").join(F.broadcast(wanted), "row_key")
-    else:
-        texts = join_groups(keyed.select("row_key", "text"), wanted, ["row_key"], "copies", total)
+    texts = _join_stored(keyed.select("row_key", "text"), wanted, ["row_key"], "copies", total)
     sets = texts.select("node", "text").mapInArrow(_full_sets, "node long, set array<long>, parity binary").dropDuplicates(["node"])
     _, roots = connected(members, store(sets, "sets"))
     named = (classes.join(roots, "node", "left")
