@@ -1,7 +1,9 @@
-"""Stateless streaming form of the scoring route: parse, build features, predict."""
+"""Streaming form of the scoring route: parse, build features, predict; by one model, or by whoever is champion."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.operators.contract import INSURED, Contract, accepted_requests, judge_requests
 from plumbline.operators.scoring import score
+from plumbline.sources import ledger, registry
+from plumbline.sources.files import load_model
 
 
 def request_schema(contract: Contract = INSURED) -> T.StructType:
@@ -68,3 +72,36 @@ def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     return (df.writeStream.format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start())
+
+
+def follow_registry(
+    stream: DataFrame, base: str, path: str, checkpoint: str, contract: Contract = INSURED, form_bounds: bool = True,
+) -> StreamingQuery:
+    """Answer what has arrived batch by batch, each by the champion that the registry below ``base`` names as the batch
+    starts; one row per request, refused ones with their reason, and the ``version`` that answered.
+
+    A batch is written to a folder of its own number below ``path``, which appears once it is whole. A batch that
+    is run again after a crash replaces its folder, so no request is answered twice. Without a champion a batch fails,
+    and is run again when the query is started anew. ``read_answers`` gives the answers of all batches.
+    """
+    spark, loaded = stream.sparkSession, {}
+
+    def answer(batch: DataFrame, number: int) -> None:
+        champion = registry.current(spark, base).first()
+        if champion is None:
+            raise ValueError(f"no champion is published below {base}")
+        if champion["path"] not in loaded:
+            loaded.clear()
+            loaded[champion["path"]] = load_model(champion["path"])
+        answers = answer_stream(loaded[champion["path"]], batch, contract, form_bounds)
+        draft = f"{path}/.draft-{number}-{uuid.uuid4().hex}"
+        answers.withColumn("version", F.lit(champion["version"])).write.parquet(draft)
+        ledger.replace_folder(spark, draft, f"{path}/batch={number}")
+
+    return (stream.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """The answers of all finished batches, with their ``batch`` number."""
+    return spark.read.parquet(path)

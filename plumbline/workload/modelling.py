@@ -1,19 +1,22 @@
 """Queries of training, selection, evaluation, the registry and scoring.
 
 Learners differ from engine to engine. Where a formula takes the place of a model, its figures
-check against SQL; of a fitted model's run, SQL checks what is the same for any learner: which rows
-it read and answered, what it refused and why, and which flags it set.
+check against SQL; served as a pipeline of one SQL stage it goes through the registry, batch and stream like a
+fitted model, and SQL checks each prediction. Of a fitted model's run, SQL checks what is the same for any
+learner: which rows it read and answered, what it refused and why, and which flags it set; the figures themselves are
+registered without SQL, and the tests hold them against plain versions.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from plumbline.operators.contract import accepted_requests, judge_requests
 from plumbline.operators.encode import ColumnTransformer, build_matrices
 from plumbline.operators.scoring import bundle, compare, evaluate, score
-from plumbline.operators.split import in_test_sample, train_test
+from plumbline.operators.split import add_fold, in_test_sample, train_test
 from plumbline.operators.training import (
     families, grid_search, leaderboard, regression_metrics, residuals, search_rows, select_best,
 )
@@ -21,7 +24,7 @@ from plumbline.plans.stages import Settings, run_full, run_stage
 from plumbline.shared import scratch_path
 from plumbline.sources import registry
 from plumbline.sources.files import read_matrix, write_matrix
-from plumbline.streaming.scorer import answer_stream, request_stream, write_available
+from plumbline.streaming.scorer import answer_stream, follow_registry, read_answers, request_stream, write_available
 from plumbline.workload.conformance import PARSED, REASON
 from plumbline.workload.fixtures import insured, insured_shifted, requests, rounded, sql
 from plumbline.workload.profiling import stored_split
@@ -194,6 +197,89 @@ def stream_scoring(spark, sf_dir):
     return answers.select("id", "reason", *_answers(answers))
 
 
+def served(formula: str) -> PipelineModel:
+    """A formula as the model that is saved and served."""
+    return PipelineModel(stages=[SQLTransformer(statement=f"SELECT *, {formula} AS prediction FROM __THIS__")])
+
+
+SHOWN = "round(prediction, 6) AS prediction, format('${:,.2f}', round(prediction, 2)) AS display"
+
+
+def shown(df):
+    return df.select("id", F.round("prediction", 6).alias("prediction"), "display")
+
+
+@query(sql(f"SELECT id, {SHOWN} FROM (SELECT id, ({GUESS_SQL})::DOUBLE AS prediction FROM test) p"))
+def predictions(spark, sf_dir):
+    """What a served model predicts for the test rows, and how it is shown."""
+    _, test = train_test(insured(spark, sf_dir), "id", exact=True)
+    return shown(score(served(GUESS), test.drop("charges")))
+
+
+@query(sql(f"""SELECT p.id, reason, version, CASE WHEN reason IS NULL THEN round(prediction, 6) END AS prediction,
+  CASE WHEN reason IS NULL THEN format('${{:,.2f}}', round(prediction, 2)) END AS display
+FROM (SELECT id, {REASON} AS reason FROM {PARSED}) p JOIN (SELECT id, CASE WHEN smoker = 'yes' THEN 'second' ELSE 'first' END AS version,
+  (CASE WHEN smoker = 'yes' THEN {GUESS_SQL} ELSE {ROUGH_SQL} END)::DOUBLE AS prediction FROM insured) i ON p.id = i.id"""))
+def stream_by_champion(spark, sf_dir):
+    """A stream whose batches are answered by the champion of the hour: a second one is published between two of them."""
+    base, arrived, done = (scratch_path(spark, name) for name in ("registry", "requests", "answers"))
+    offsets, asked = scratch_path(spark, "offsets"), requests(spark, sf_dir)
+    smokers = insured(spark, sf_dir).filter("smoker = 'yes'").select("id")
+    for version, formula, how in (("first", ROUGH, "left_anti"), ("second", GUESS, "left_semi")):
+        registry.publish(spark, base, served(formula), 0.5, 9.0, 8.0, version=version)
+        asked.join(smokers, "id", how).write.mode("append").parquet(arrived)
+        follow_registry(request_stream(spark, arrived), base, done, offsets).awaitTermination()
+    return read_answers(spark, done).select("id", "reason", "version", F.round("prediction", 6).alias("prediction"), "display")
+
+
+@query(sql(f"""SELECT 'second' AS version, round(c.r2, 6) AS champion_r2, round(g.r2, 6) AS challenger_r2, round(g.rmse, 6) AS challenger_rmse,
+  round(g.mae, 6) AS challenger_mae, round(g.r2 - c.r2, 6) AS difference, g.r2 > c.r2 AS accepted, c.n AS n
+FROM ({metrics_sql(ROUGH_SQL, 'test')}) c, ({metrics_sql(GUESS_SQL, 'test')}) g"""))
+def champion_evaluation(spark, sf_dir):
+    """A challenger held against the reloaded champion on the same test rows, as the evaluation stage does."""
+    base = scratch_path(spark, "registry")
+    _, test = train_test(insured(spark, sf_dir), "id", exact=True)
+    for version, formula, accepted in (("first", GUESS, True), ("second", ROUGH, True), ("refused", GUESS, False)):
+        registry.publish(spark, base, served(formula), 0.5, 9.0, 8.0, accepted=accepted, version=version)
+    champion = evaluate(registry.load_champion(spark, base), test, "charges")
+    decision = compare(evaluate(served(GUESS), test, "charges"), champion)
+    rows = decision.crossJoin(champion.select("n")).crossJoin(registry.current(spark, base).select("version"))  # one row each
+    return rounded(rows.select("version", "champion_r2", "challenger_r2", "challenger_rmse", "challenger_mae", "difference", "accepted", "n"))
+
+
+@query()
+def grid_search_values(spark, sf_dir):
+    """Mean fold score of each setting, and the rows of each fold as the folds hold them."""
+    train, _, _, _ = _matrices(spark, sf_dir)
+    scores = search_rows(spark, [grid_search(train, families(TRIAL)[0], "id", folds=3)])
+    sizes = add_fold(train, "id", 3).groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    folds = sizes.agg(F.transform(F.array_sort(F.collect_list(F.struct("fold", "rows"))), lambda s: s["rows"]).alias("fold_rows"))
+    return rounded(scores.join(F.broadcast(folds)))
+
+
+@query()
+def leaderboard_values(spark, sf_dir):
+    """Scores of the best setting of every family, and which family is chosen."""
+    train, test, _, _ = _matrices(spark, sf_dir)
+    best, board = select_best(train, test, families(TRIAL), "id", folds=3)
+    return rounded(leaderboard(spark, board).withColumn("chosen", F.col("family") == best.family))
+
+
+@query()
+def fitted_predictions(spark, sf_dir):
+    """What a fitted forest predicts for the test rows, beside what they really cost."""
+    model, test = _fitted(spark, sf_dir)
+    return score(model, test).select("id", "charges", "prediction", "display")
+
+
+@query()
+def training_values(spark, sf_dir):
+    """All metrics of the whole job, with those of the learned models."""
+    base = scratch_path(spark, "runs")
+    settings = Settings(base=base, run_id="values", registry=f"{base}/registry", grid=TRIAL, folds=3, source=lambda s: insured(s, sf_dir))
+    return rounded(run_full(spark, settings).select("stage", "metric", "value", "text"))
+
+
 @query(sql("""SELECT 'ingest' AS stage, 'train_samples' AS metric, count(*)::DOUBLE AS value FROM train
 UNION ALL SELECT 'ingest', 'test_samples', count(*) FROM test
 UNION ALL SELECT 'ingest', side || '_columns', 8 FROM (SELECT unnest(['train', 'test']) AS side) s
