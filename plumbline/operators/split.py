@@ -61,6 +61,12 @@ def read_side(spark: SparkSession, path: str, side: str) -> DataFrame:
 def exact_test_side(
     df: DataFrame, key: str, ratio: float, seed: int, task_values: int = TASK_VALUES,
 ) -> Column:
+    """The rows with the smallest hashes, ``ceil(ratio * n)`` of them, found by two passes over the key.
+
+    The first counts. Hashes are even, so the last one wanted lies within a few deviations of its expected place; the
+    second counts what is below and brings the few times root n hashes around it. Where they are
+    too many, not distinct, or do not hold it, the hashes are searched as any exact quantile is.
+    """
     hashed = df.select(F.col(key), key_hash(key, seed).alias("__hash"))
     n = hashed.count()
     wanted = math.ceil(ratio * n)
@@ -68,6 +74,16 @@ def exact_test_side(
         return F.lit(False)
     # The hashes are even, so the cut lies within a few deviations of its expected place.
     centre, reach = ratio * HASH_RANGE, 6.0 * math.sqrt(ratio * (1.0 - ratio) / n) * HASH_RANGE
+    h = key_hash(key, seed)
+    if n * 2.0 * reach / HASH_RANGE <= task_values:
+        inside = F.col("__hash").between(int(centre - reach), int(centre + reach))
+        pair = F.when(inside, F.struct(F.col("__hash").alias("hash"), F.col(key).alias("key")))
+        found = hashed.agg(F.count_if(F.col("__hash") < int(centre - reach)).alias("below"), F.count_if(inside).alias("inside"),
+                           F.sort_array(F.collect_set(pair)).alias("near")).first()
+        last = wanted - 1 - found["below"]
+        if 0 <= last < len(found["near"]) == found["inside"]:
+            cut, key_at_cut = found["near"][last]
+            return (h < F.lit(cut)) | ((h == F.lit(cut)) & (F.col(key) <= F.lit(key_at_cut)))
     near = {("__hash", wanted - 1): (centre - reach, centre + reach)}
     cut = int(order_statistics(
         hashed.select("__hash"), {"__hash": [wanted - 1]}, {"__hash": n}, task_values,
@@ -75,7 +91,6 @@ def exact_test_side(
     row = hashed.agg(F.count_if(F.col("__hash") < cut).alias("below"),
                      F.count_if(F.col("__hash") == cut).alias("tied")).first()
     take = wanted - row["below"]
-    h = key_hash(key, seed)
     if take == row["tied"]:
         return h <= F.lit(cut)
     if row["tied"] > MAX_TIES:

@@ -6,7 +6,9 @@ import logging
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -86,19 +88,67 @@ class Search:
 
 
 def grid_search(train: DataFrame, family: Family, key: str, folds: int = 5, parallelism: int = 4) -> Search:
-    """Cross-validated R2 of each setting, then a refit of the best on all rows."""
+    """Cross-validated R2 of each setting, then a refit of the best on all rows.
+
+    Boosting adds trees one by one, so a model with fewer rounds is the beginning of one with more: settings that
+    differ in their rounds alone are fitted once, with the most rounds, and scored after each of their numbers of rounds.
+    A forest draws its rows for all trees together, and a smaller one is not part of a larger: its settings are fitted
+    one by one.
+    """
     ensure_checkpoint_dir(train.sparkSession)
+    folded = add_fold(train, key, folds).select("features", "label", "fold")
+    if isinstance(family.estimator, GBTRegressor):
+        return _boosted_search(folded, family, folds, parallelism)
     validator = CrossValidator(
         estimator=family.estimator, estimatorParamMaps=family.grid,
         evaluator=RegressionEvaluator(metricName="r2"), numFolds=folds, foldCol="fold",
         parallelism=parallelism)
-    fitted = validator.fit(add_fold(train, key, folds).select("features", "label", "fold"))
+    fitted = validator.fit(folded)
     scores = [(settings_of(setting), score) for setting, score in zip(family.grid, fitted.avgMetrics)]
     # The first setting wins a tie, as in the search itself.
     best, cv_r2 = max(scores, key=lambda pair: pair[1])
     return Search(family.name, fitted.bestModel, best, cv_r2, scores)
 
 
+def longest_rounds(estimator: GBTRegressor, grid: Sequence[dict]) -> list[tuple[dict, list[int]]]:
+    """Settings without their rounds, each with the numbers of rounds that the grid asks for."""
+    groups: dict[str, tuple[dict, list[int]]] = {}
+    for setting in grid:
+        rest = {param: value for param, value in setting.items() if param != estimator.maxIter}
+        groups.setdefault(settings_of(rest), (rest, []))[1].append(setting.get(estimator.maxIter, estimator.getMaxIter()))
+    return list(groups.values())
+
+
+def _boosted_search(folded: DataFrame, family: Family, folds: int, parallelism: int) -> Search:
+    estimator = family.estimator
+    fits = [(rest, rounds, fold) for rest, rounds in longest_rounds(estimator, family.grid) for fold in range(folds)]
+    folded = folded.persist()
+
+    def scored(fit) -> dict[str, float]:
+        rest, rounds, fold = fit
+        model = estimator.fit(folded.filter(F.col("fold") != fold), {**rest, estimator.maxIter: max(rounds)})
+        held_out = folded.filter(F.col("fold") == fold)
+        errors = model.evaluateEachIteration(held_out, "squared")
+        spread = held_out.agg(F.var_pop("label")).first()[0]
+        return {settings_of({**rest, estimator.maxIter: n}): 1.0 - errors[n - 1] / spread for n in rounds}
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            parts = pool.map(inheritable_thread_target(folded.sparkSession)(scored), fits)
+        found: dict[str, float] = {}
+        for part in parts:
+            for setting, r2 in part.items():
+                found[setting] = found.get(setting, 0.0) + r2 / folds
+        scores = [(settings_of({estimator.maxIter: estimator.getMaxIter(), **setting}), setting) for setting in family.grid]
+        # The first setting wins a tie.
+        top, chosen = max(scores, key=lambda pair: found[pair[0]])
+        model = estimator.fit(folded, chosen)
+    finally:
+        folded.unpersist()
+    names = {settings_of({estimator.maxIter: estimator.getMaxIter(), **setting}): settings_of(setting) for setting in family.grid}
+    return Search(family.name, model, names[top], found[top], [(names[name], found[name]) for name, _ in scores])
+
+
 def search_rows(spark, searches: Sequence[Search]) -> DataFrame:
     return literal_rows(spark, "family string, settings string, cv_r2 double", [
         (search.family, setting, score) for search in searches for setting, score in search.scores])

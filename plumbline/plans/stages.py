@@ -169,9 +169,12 @@ def _inputs(settings: Settings, stage: str, reads: dict[str, str | None]) -> str
 
 
 def _is_done(spark: SparkSession, settings: Settings, stage: str) -> bool:
-    """Whether the stage's last attempt finished, on the results that are valid now, all of them done themselves."""
+    """Whether the stage's last attempt finished and is still stored, on the results that are valid now, all of them
+    done themselves."""
     log = _log(spark, settings, stage)
-    if not log or log[-1]["state"] != DONE or not all(_is_done(spark, settings, needed) for needed in REQUIRES[stage]):
+    if not log or log[-1]["state"] != DONE or not ledger.exists(spark, settings.folder(stage, log[-1]["attempt"])):
+        return False
+    if not all(_is_done(spark, settings, needed) for needed in REQUIRES[stage]):
         return False
     reads = {needed: _finished_attempt(spark, settings, needed) for needed in REQUIRES[stage]}
     return log[-1]["inputs"] == _inputs(settings, stage, reads)
@@ -318,11 +321,37 @@ def _metric_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(METRIC_ROWS).json(paths)
 
 
+def check_settings(spark: SparkSession, settings: Settings) -> list[str]:
+    """What of a run's surroundings is missing or wrong, before any stage begins: its folders, the searched grid, and the
+    columns that the contract names."""
+    wrong = []
+    for name in ("base", "registry"):
+        try:
+            ledger.exists(spark, getattr(settings, name))
+        except Exception as error:  # noqa: BLE001 - a file system may fail in any way
+            wrong.append(f"{name}: {str(error).splitlines()[0]}")
+    try:
+        empty = [family.name for family in families(settings.grid) if not family.grid]
+        wrong += [f"grid: no setting of {name}" for name in empty]
+    except (KeyError, AttributeError, TypeError) as error:
+        wrong.append(f"grid: {error}")
+    names = settings.contract.names
+    used = [settings.contract.target, *settings.contract.numeric, *settings.contract.categorical]
+    wrong += [f"contract: no column {name!r}" for name in used if name not in names]
+    if settings.key in names:
+        wrong.append(f"contract: the key {settings.key!r} is one of its columns")
+    return wrong
+
+
 def run_full(spark: SparkSession, settings: Settings, resume: bool = False) -> DataFrame:
     """All stages in order; returns the metrics of every stage.
 
-    A failing analysis is logged and tolerated, any other failure ends the run.
+    What is missing around the run is an error before its first stage. A failing analysis is logged and
+    tolerated, any other failure ends the run.
     """
+    wrong = check_settings(spark, settings)
+    if wrong:
+        raise ValueError("the run cannot start: " + "; ".join(wrong))
     for name in STAGES:
         try:
             run_stage(spark, name, settings, force=not resume)

@@ -92,6 +92,11 @@ def append(spark: SparkSession, folder: str, make: Callable[[list[str]], str]) -
             return number
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    _, target, fs = _hadoop(spark, path)
+    return fs.exists(target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     _, target, fs = _hadoop(spark, path)
     return fs.delete(target, True)

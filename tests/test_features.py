@@ -136,3 +136,24 @@ def test_contiguous_folds_need_unique_keys(spark):
         rows = spark.createDataFrame([(v,) for v in values], "id long")
         with pytest.raises(ValueError):
             add_contiguous_fold(rows, "id", 2)
+
+
+@pytest.mark.parametrize("n, ratio", [(1, 0.2), (7, 0.5), (1000, 0.2), (5000, 0.33)])
+def test_the_exact_split_looks_twice(spark, n, ratio, monkeypatch):
+    from plumbline.operators import split
+
+    def unused(*_):
+        raise AssertionError("a third look")
+
+    rows = spark.range(n).repartition(3)
+    want = sorted(r.id for r in rows.filter(split.exact_test_side(rows, "id", ratio, 5, task_values=0)).collect())
+    monkeypatch.setattr(split, "order_statistics", unused)
+    got = sorted(r.id for r in rows.filter(split.exact_test_side(rows, "id", ratio, 5)).collect())
+    assert got == want and len(got) == math.ceil(ratio * n)
+
+
+def test_the_exact_split_refuses_a_key_that_is_not_unique(spark):
+    from plumbline.operators import split
+
+    with pytest.raises(ValueError):
+        split.exact_test_side(spark.range(40).selectExpr("id % 4 AS id"), "id", 0.3, 5)

@@ -132,3 +132,27 @@ def test_a_snapshot_that_dies_leaves_the_one_before(spark, insured):
     with pytest.raises(Exception, match="lost"):
         files.snapshot(broken, base, "one")
     assert files.read_snapshot(spark, base, "one").count() == insured.count()
+
+
+def test_a_run_does_not_start_with_wrong_settings(spark, insured):
+    from dataclasses import replace
+
+    run = settings(spark, [insured])
+    assert stages.check_settings(spark, run) == []
+    assert stages.check_settings(spark, replace(run, grid="huge")) == ["grid: 'huge'"]
+    assert stages.check_settings(spark, replace(run, key="age")) == ["contract: the key 'age' is one of its columns"]
+    far = stages.check_settings(spark, replace(run, registry="nofs://there/models"))
+    assert len(far) == 1 and far[0].startswith("registry: ")
+    with pytest.raises(ValueError, match="the run cannot start: grid"):
+        stages.run_full(spark, replace(run, grid={"random_forest": {"noParam": [1]}}))
+    assert read_metrics(spark, run, "ingest") == {}
+
+
+def test_a_stage_whose_results_are_gone_is_run_again(spark, insured):
+    run = settings(spark, [insured])
+    run_stage(spark, "validate", run)
+    attempt = stages._finished_attempt(spark, run, "ingest")
+    ledger.delete_folder(spark, run.folder("ingest", attempt))
+    assert not stages._is_done(spark, run, "validate")
+    run_stage(spark, "validate", run, force=False)
+    assert stages._is_done(spark, run, "validate") and stages._finished_attempt(spark, run, "ingest") != attempt

@@ -180,3 +180,26 @@ def test_extra_column_fails_the_checks(spark, insured):
     settings = Settings(base=base, run_id="wide", registry=f"{base}/registry",
                         source=lambda s: insured.selectExpr("*", "1 AS extra"))
     assert {r.metric: r.value for r in run_stage(spark, "validate", settings).collect()}["validation_status"] == 0.0
+
+
+def test_rounds_of_boosting_are_scored_from_one_fit(matrices, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import GBTRegressor
+
+    from plumbline.operators.split import add_fold
+
+    grid = {"gradient_boosting": {"maxIter": [2, 6, 4], "stepSize": [0.3, 0.1], "maxDepth": [3], "subsamplingRate": [0.8]}}
+    family = training.families(grid)[0]
+    fits, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df, params=None: fits.append(1) or fit(self, df, params))
+    search = training.grid_search(matrices[0], family, "id", folds=3)
+    assert len(fits) == 2 * 3 + 1  # two step sizes in three folds, and the best on all rows
+    train = add_fold(matrices[0], "id", 3)
+    assert [name for name, _ in search.scores] == [training.settings_of(setting) for setting in family.grid]
+    for setting, (_, got) in zip(family.grid, search.scores):
+        if setting[family.estimator.maxIter] == 4:
+            alone = [RegressionEvaluator(metricName="r2").evaluate(
+                fit(family.estimator, train.filter(F.col("fold") != k), setting).transform(train.filter(F.col("fold") == k))) for k in range(3)]
+            assert got == pytest.approx(sum(alone) / 3, rel=1e-9)
+    assert search.cv_r2 == max(score for _, score in search.scores) and dict(search.scores)[search.best] == search.cv_r2
+    assert search.model.getNumTrees == int(search.best.split("maxIter=")[1].split(",")[0])
