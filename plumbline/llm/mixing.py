@@ -14,6 +14,8 @@ TOTAL_SHARE = 1.5
 MOST_COPIES = 2.0
 #: Documents whose probabilities are rounded together at one node of the tree.
 FAN_IN = 128
+#: Repeated rows that a task writes out at once.
+TWINS_AT_ONCE = 1000
 SEED = 20_240_601
 
 
@@ -94,9 +96,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     hands that one on to the next level. Sums of words are kept but for the last document, so a source misses its
     target by less than the size of one document. All draws depend on ids and texts only, so reruns agree.
 
-    A null text has size 0 and is never taken; a null source is a source. Repeated rows are
-    rounded one by one but in the same node. Sources without words have target 0. An empty
-    table gives no rows. Other columns don't matter.
+    A null text has size 0 and is never taken; a null source is a source. Repeated rows of a source are one entry, counted
+    before the shuffle: rounded against each other, all but one of them end at 0 or 1, and that one goes through the tree.
+    Sources without words have target 0. An empty table gives no rows. Other columns don't matter.
     """
     text = quoted(text_col).cast("string")
     rows = docs.select(quoted(id_col).alias("doc_id"), quoted(source_col).cast("string").alias("source"),
@@ -104,14 +106,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = store(rows, "sizes")
     targets = source_targets(rows.select("source", "size"), weights, total_share, most)
     targets = store(targets.withColumnRenamed("source", "of_source"), "targets")
+    rows = rows.groupBy("source", "row_key", "doc_id", "size").agg(F.count("*").alias("twins"))
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
     rate = F.col("target") / F.nullif("source_size", F.lit(0))
     whole = F.least(F.floor(rate), F.lit(int(most) - 1))
     rows = (rows.withColumn("whole", F.when(F.col("size") > 0, whole).otherwise(0))
-            .withColumn("p", F.when(F.col("size") > 0, rate - whole).otherwise(0.0))
+            .withColumn("all", F.when(F.col("size") > 0, F.col("twins") * (rate - whole)).otherwise(0.0))
+            .withColumn("ones", F.floor("all")).withColumn("p", F.col("all") - F.col("ones"))
             .withColumn("node", F.pmod(F.xxhash64(F.lit(SEED), "row_key"), F.greatest(F.lit(1), F.ceil(F.col("documents") / FAN_IN))))
-            .drop("of_source"))
-    fields = ["size", "row_key", "p", "doc_id", "whole", "source_size", "target"]
+            .drop("of_source", "all"))
+    fields = ["size", "row_key", "p", "doc_id", "whole", "source_size", "target", "twins", "ones"]
     done = [rows.where("size = 0").select("source", *fields)]
     nodes = rows.where("size > 0").select("source", "node", F.struct(*fields).alias("cell"))
     widest = targets.agg(F.max("documents")).first()[0] or 0
@@ -132,11 +136,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    copies = (F.col("whole") + F.round("p")).cast("long")
+    out = _each_twin(out)
+    extra = F.when(F.col("twin") <= F.col("ones"), 1).when(F.col("twin") == F.col("ones") + 1, F.round("p")).otherwise(0)
+    copies = (F.col("whole") + extra).cast("long")
     return out.select(F.col("doc_id").alias(id_col), "row_key", "size", "source_size", "target",
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def _each_twin(rows: DataFrame) -> DataFrame:
+    """One row per repeated row, numbered by ``twin`` from 1; many of them are dealt out in parts."""
+    single = rows.where("twins = 1").withColumn("twin", F.lit(1).cast("long"))
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("twins") - 1, F.lit(TWINS_AT_ONCE).cast("long")))
+    parts = rows.where("twins > 1").withColumn("start", starts).repartition("row_key", "start")
+    twins = F.sequence(F.col("start") + 1, F.least(F.col("twins"), F.col("start") + TWINS_AT_ONCE))
+    return single.unionByName(parts.withColumn("twin", F.explode(twins)).drop("start"))
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents that the mix takes, with all their columns, ``copies`` and ``taken``."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # no name can clash
