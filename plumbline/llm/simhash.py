@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import quoted, row_key, store, without
+from plumbline.llm.common import join_groups, quoted, row_key, store
 from plumbline.llm.components import components
 
 WORDS_PER_SHINGLE = 4
@@ -244,13 +244,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     rows = store(rows.select("doc_id", row_key("doc_id", "text").alias("row_key"),
                              fingerprints(F.col("text")).alias("fp")), "fingerprints")
-    classes = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
+    classes = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "classes")
     roots = components(near_links(classes.select("fp")), "fp_a", "fp_b")
     classes = (classes.join(roots, classes.fp == roots.node, "left")
-               .select("fp", "least_id", F.coalesce("root", "fp").alias("group")))
-    named = classes.groupBy("group").agg(F.min("least_id").alias("component_id"))
-    classes = classes.join(named, "group").select("fp", "group", "component_id")
-    return (rows.join(classes, "fp")
+               .select("fp", "least_id", "copies", F.coalesce("root", "fp").alias("group")))
+    classes = store(classes, "grouped")
+    total = classes.agg(F.coalesce(F.sum("copies"), F.lit(1))).first()[0]
+    named = classes.groupBy("group").agg(F.min("least_id").alias("component_id"), F.count("*").alias("size"))
+    classes = store(join_groups(classes, named, ["group"], "size", total).select("fp", "copies", "group", "component_id"), "named")
+    return (join_groups(rows, classes, ["fp"], "copies", total)
             .select(F.col("doc_id").alias(id_col), "row_key", F.col("fp").alias("fingerprint"),
                     "group", "component_id"))
 
@@ -261,8 +263,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The smallest id stays (a null id only where all are null), among equal ids the smallest
     row key; one of repeated rows.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    order = F.struct(quoted(id_col).isNull(), quoted(id_col), "row_key")
-    kept = found.groupBy("group").agg(F.min_by("row_key", order).alias("_row_key")).select("_row_key")
-    keyed = docs.withColumn("_row_key", row_key(quoted(id_col), quoted(text_col).cast("string")))
-    return without(keyed.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]), "_row_key")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # no name can clash
+    of_id, of_text = (f"c{docs.columns.index(name)}" for name in (id_col, text_col))
+    found = near_duplicates(plain, of_id, of_text)
+    order = F.struct(F.col(of_id).isNull(), of_id, "row_key")
+    kept = found.groupBy("group").agg(F.min_by("row_key", order).alias("row_key")).select("row_key")
+    keyed = plain.withColumn("row_key", row_key(F.col(of_id), F.col(of_text).cast("string")))
+    one = keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return one.select(*plain.columns).toDF(*docs.columns)
