@@ -181,15 +181,20 @@ def _or_none(name: str):
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with all their columns, repeated spans cut out, and the spans in ``removed``.
 
-    Offsets refer to the text before the cuts. A column called ``removed`` is replaced.
+    Offsets refer to the text before the cuts. A column called ``removed`` is replaced, any other name is kept. Rows are cut as
+    ``repeated_spans`` tells: of repeated rows the first stays whole, null and empty texts stay as they are, and
+    an empty table gives no rows.
     """
-    frame = without(docs, "removed").withColumn(text_col, quoted(text_col).cast("string"))
-    names = frame.columns
-    rows = store(_with_units(frame, text_col).withColumn("_id", quoted(id_col)), "units")
+    docs = without(docs, "removed")
+    names = docs.columns
+    frame = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no name can clash
+    of_id, of_text = (f"c{names.index(name)}" for name in (id_col, text_col))
+    frame = frame.withColumn(of_text, F.col(of_text).cast("string"))
+    rows = store(_with_units(frame, of_text).withColumn("_id", F.col(of_id)), "units")
     rows = rows.drop("_units", "_windows").join(_removed(_exploded(rows)), "_row", "left").withColumn("spans", _or_none("spans"))
-    text = quoted(text_col)
+    text = F.col(of_text)
     pieces = F.zip_with(F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["end"])),
                         F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.length(text))),
                         lambda start, end: F.substring(text, start + 1, end - start))
     cut = F.when(F.size("spans") > 0, F.array_join(pieces, "")).otherwise(text)
-    return rows.withColumn(text_col, cut).select(*[quoted(c) for c in names], F.col("spans").alias("removed"))
+    return rows.withColumn(of_text, cut).select(*frame.columns, F.col("spans").alias("removed")).toDF(*names, "removed")
