@@ -21,7 +21,7 @@ SCALE = 1_000_000_000
 #: Postings and documents that a task indexes at once.
 SHARD_POSTINGS, SHARD_DOCS = 2_000_000, 16_384
 #: Documents of one block, on average.
-BLOCK_DOCS = 32
+BLOCK_DOCS = 16
 #: Numbers that stand for a document while a posting list is clustered.
 SKETCH = 16
 #: Terms of the items that are broadcast at once, about; more items are further passes over the documents.
@@ -44,6 +44,7 @@ class Items:
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     terms: list[np.ndarray] = field(default_factory=list)
     repeats: list[np.ndarray] = field(default_factory=list)
+    holders: list[list[int]] = field(default_factory=list)
     weights: np.ndarray | None = None
     documents: int = 0
     length: int = 0
@@ -55,8 +56,16 @@ class Items:
             counts = Counter(terms_of(text))
             items.terms.append(np.array([items.vocabulary.setdefault(t, len(items.vocabulary)) for t in counts], np.int64))
             items.repeats.append(np.array(list(counts.values()), np.int64))
+        items.holders = [[] for _ in items.vocabulary]
+        for at, terms in enumerate(items.terms):
+            for term in terms.tolist():
+                items.holders[term].append(at)
         return items
 
+    def company(self, term: int) -> np.ndarray:
+        """All terms of the items that hold a term."""
+        return np.concatenate([self.terms[at] for at in self.holders[term]])
+
 
 def _counted(shared):
     """Documents with their number of terms, and how often they hold each term of the items."""
@@ -99,7 +108,7 @@ class Shard:
         held = np.flatnonzero(np.diff(self.edges))
         if len(held):
             self.most[held] = np.maximum.reduceat(self.values[order], self.edges[held])
-        self.asked = np.zeros(width, np.int64)
+        self.asked, self.items, self._wanted = np.zeros(width, np.int64), items, np.zeros(width, bool)
         self.width, self._sketches, self._blocks = width, None, {}
 
     def _sketch(self) -> np.ndarray:
@@ -114,8 +123,9 @@ class Shard:
     def blocks(self, term: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A posting list by blocks: its documents, the blocks' edges, and the greatest value of each term in each block.
 
-        The documents go to the most similar of some documents of the list. The summary is sparse and sorted by
-        ``term * blocks + block``. A list is cut when it is first asked for.
+        The documents go to the most similar of some documents of the list. The summary has the terms of all items that
+        hold the list's term, as no other item reads the list; it is sparse and sorted by ``term * blocks + block``. A list
+        is cut when it is first asked for.
         """
         if term not in self._blocks:
             docs = self.docs[self.edges[term]:self.edges[term + 1]]
@@ -132,7 +142,12 @@ class Shard:
             count = len(edges) - 1
             block = np.repeat(np.arange(count), np.diff(edges))
             places = _joined(self.starts[docs], self.sizes[docs])
-            code = self.terms[places] * count + np.repeat(block, self.sizes[docs])
+            company = self.items.company(term)
+            self._wanted[company] = True
+            wanted = self._wanted[self.terms[places]]
+            self._wanted[company] = False
+            places = places[wanted]
+            code = self.terms[places] * count + np.repeat(block, self.sizes[docs])[wanted]
             order = np.argsort(code, kind="stable")
             code, values = code[order], self.values[places][order]
             first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
