@@ -237,9 +237,9 @@ def _comparer(best_only: bool):
     return run
 
 
-def possible_edges(rows: DataFrame, best_only: bool) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of ``rows`` ``(bucket, node, n, root, parity)`` that share a bucket, belong to different
-    components, and may be similar enough. A bucket of many rows is cut into blocks, and each pair of blocks is a group of
+def possible_edges(rows: DataFrame, bits: DataFrame, best_only: bool) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of ``rows`` ``(bucket, node, n, root)`` that share a bucket, belong to different
+    components, and may be similar enough by ``bits`` ``(node, parity)``. A bucket of many rows is cut into blocks, and each pair of blocks is a group of
     its own, so that a task never holds more than two blocks of one bucket."""
     still = store(_open(rows), "open")
     total = still.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
@@ -248,7 +248,7 @@ def possible_edges(rows: DataFrame, best_only: bool) -> DataFrame:
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("bucket", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
-                         (F.col("own") > F.col("other")).cast("byte").alias("side"), "node", "n", "root", "parity")
+                         (F.col("own") > F.col("other")).cast("byte").alias("side"), "node", "n", "root").join(bits, "node")
     keys = ["bucket", "first", "second"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_comparer(best_only), "a long, b long").distinct()
 
@@ -267,9 +267,8 @@ def connected(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame
     bits = sets.select("node", "parity")
     for best_only in (True, False):
         rows = _labelled(members.drop("count"), roots)
-        rows = rows.join(_open(rows).drop("count"), "bucket", "left_semi")
-        rows = store(rows.join(bits, "node").select("bucket", "node", "n", "root", "parity"), "unsettled")
-        edges = store(possible_edges(rows, best_only), "edges")
+        rows = store(rows.join(_open(rows).drop("count"), "bucket", "left_semi").select("bucket", "node", "n", "root"), "unsettled")
+        edges = store(possible_edges(rows, bits, best_only), "edges")
         count = edges.count()
         if not count:
             break
