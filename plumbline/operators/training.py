@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,18 +96,41 @@ def grid_search(train: DataFrame, family: Family, key: str, folds: int = 5, para
     one by one.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    folded = add_fold(train, key, folds).select("features", "label", "fold")
-    if isinstance(family.estimator, GBTRegressor):
-        return _boosted_search(folded, family, folds, parallelism)
-    validator = CrossValidator(
-        estimator=family.estimator, estimatorParamMaps=family.grid,
-        evaluator=RegressionEvaluator(metricName="r2"), numFolds=folds, foldCol="fold",
-        parallelism=parallelism)
-    fitted = validator.fit(folded)
-    scores = [(settings_of(setting), score) for setting, score in zip(family.grid, fitted.avgMetrics)]
+    folded = add_fold(train, key, folds).select("features", "label", "fold").persist()
+    search = _boosted_search if isinstance(family.estimator, GBTRegressor) else _plain_search
+    try:
+        return search(folded, family, folds, parallelism)
+    finally:
+        folded.unpersist()
+
+
+def _plain_search(folded: DataFrame, family: Family, folds: int, parallelism: int) -> Search:
+    """Every setting fitted in every fold, as ``CrossValidator`` does.
+
+    That one works out the folds of all rows again, and stores the rows anew, for both sides of every fold; here all
+    fits read the rows as they are persisted once, with their folds.
+    """
+    estimator, evaluator = family.estimator, RegressionEvaluator(metricName="r2")
+    # Counting also brings the rows into the store, in all tasks at once.
+    sizes = {row["fold"]: row["count"] for row in folded.groupBy("fold").count().collect()}
+    for fold in range(folds):
+        if not 0 < sizes.get(fold, 0) < sum(sizes.values()):
+            raise ValueError(f"fold {fold} has no rows to fit on or to score")
+    scores = dict.fromkeys(range(len(family.grid)), 0.0)
+    # Each running fit keeps its own binned rows, so only the settings of one fold run together.
+    with ThreadPool(min(parallelism, len(family.grid))) as pool:
+        for fold in range(folds):
+            fitted, held_out = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+
+            def scored(i: int) -> float:
+                return evaluator.evaluate(estimator.fit(fitted, family.grid[i]).transform(held_out))
+
+            for i, r2 in enumerate(pool.map(inheritable_thread_target(folded.sparkSession)(scored), range(len(family.grid)))):
+                scores[i] += r2 / folds
+    named = [(settings_of(setting), scores[i]) for i, setting in enumerate(family.grid)]
     # The first setting wins a tie, as in the search itself.
-    best, cv_r2 = max(scores, key=lambda pair: pair[1])
-    return Search(family.name, fitted.bestModel, best, cv_r2, scores)
+    chosen = max(scores, key=scores.get)
+    return Search(family.name, estimator.fit(folded, family.grid[chosen]), *named[chosen], named)
 
 
 def longest_rounds(estimator: GBTRegressor, grid: Sequence[dict]) -> list[tuple[dict, list[int]]]:
@@ -122,7 +145,6 @@ def longest_rounds(estimator: GBTRegressor, grid: Sequence[dict]) -> list[tuple[
 def _boosted_search(folded: DataFrame, family: Family, folds: int, parallelism: int) -> Search:
     estimator = family.estimator
     fits = [(rest, rounds, fold) for rest, rounds in longest_rounds(estimator, family.grid) for fold in range(folds)]
-    folded = folded.persist()
 
     def scored(fit) -> dict[str, float]:
         rest, rounds, fold = fit
@@ -132,19 +154,16 @@ def _boosted_search(folded: DataFrame, family: Family, folds: int, parallelism:
         spread = held_out.agg(F.var_pop("label")).first()[0]
         return {settings_of({**rest, estimator.maxIter: n}): 1.0 - errors[n - 1] / spread for n in rounds}
 
-    try:
-        with ThreadPool(parallelism) as pool:
-            parts = pool.map(inheritable_thread_target(folded.sparkSession)(scored), fits)
-        found: dict[str, float] = {}
-        for part in parts:
-            for setting, r2 in part.items():
-                found[setting] = found.get(setting, 0.0) + r2 / folds
-        scores = [(settings_of({estimator.maxIter: estimator.getMaxIter(), **setting}), setting) for setting in family.grid]
-        # The first setting wins a tie.
-        top, chosen = max(scores, key=lambda pair: found[pair[0]])
-        model = estimator.fit(folded, chosen)
-    finally:
-        folded.unpersist()
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(inheritable_thread_target(folded.sparkSession)(scored), fits)
+    found: dict[str, float] = {}
+    for part in parts:
+        for setting, r2 in part.items():
+            found[setting] = found.get(setting, 0.0) + r2 / folds
+    scores = [(settings_of({estimator.maxIter: estimator.getMaxIter(), **setting}), setting) for setting in family.grid]
+    # The first setting wins a tie.
+    top, chosen = max(scores, key=lambda pair: found[pair[0]])
+    model = estimator.fit(folded, chosen)
     names = {settings_of({estimator.maxIter: estimator.getMaxIter(), **setting}): settings_of(setting) for setting in family.grid}
     return Search(family.name, model, names[top], found[top], [(names[name], found[name]) for name, _ in scores])
 
