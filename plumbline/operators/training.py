@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -26,6 +29,7 @@ SEED = 42
 MAX_BINS = 128
 DEEPEST = 30  # Spark's limit, in place of "no limit"
 MINIMUM_SCORE = 0.6
+MAX_NODES = 65_536  # of a forest's upper part that is read from a deeper one
 
 # The searched settings of each family. Spark's trees have no minimum
 # number of rows to split a node, so that setting of the forest has no counterpart.
@@ -92,8 +96,8 @@ def grid_search(train: DataFrame, family: Family, key: str, folds: int = 5, para
 
     Boosting adds trees one by one, so a model with fewer rounds is the beginning of one with more: settings that
     differ in their rounds alone are fitted once, with the most rounds, and scored after each of their numbers of rounds.
-    A forest draws its rows for all trees together, and a smaller one is not part of a larger: its settings are fitted
-    one by one.
+    A forest draws its rows for all trees together, and a smaller one is not part of a larger; but settings that differ
+    in their depth alone are fitted once, with the greatest, and scored at each of their depths.
     """
     ensure_checkpoint_dir(train.sparkSession)
     folded = add_fold(train, key, folds).select("features", "label", "fold").persist()
@@ -105,7 +109,7 @@ def grid_search(train: DataFrame, family: Family, key: str, folds: int = 5, para
 
 
 def _plain_search(folded: DataFrame, family: Family, folds: int, parallelism: int) -> Search:
-    """Every setting fitted in every fold, as ``CrossValidator`` does.
+    """Every setting scored in every fold, as ``CrossValidator`` does.
 
     That one works out the folds of all rows again, and stores the rows anew, for both sides of every fold; here all
     fits read the rows as they are persisted once, with their folds.
@@ -116,16 +120,25 @@ def _plain_search(folded: DataFrame, family: Family, folds: int, parallelism: in
     for fold in range(folds):
         if not 0 < sizes.get(fold, 0) < sum(sizes.values()):
             raise ValueError(f"fold {fold} has no rows to fit on or to score")
+    fits = [(group, fold) for fold in range(folds) for group in shared_depths(estimator, family.grid)]
+
+    def scored(fit) -> dict[int, float]:
+        (deepest, shallower), fold = fit
+        fitted, held_out = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+        model = estimator.fit(fitted, family.grid[deepest])
+        found = {deepest: evaluator.evaluate(model.transform(held_out))}
+        for i in shallower:
+            nodes = upper_nodes(model, depth_of(estimator, family.grid[i]))
+            answers = estimator.fit(fitted, family.grid[i]).transform(held_out) if nodes is None else \
+                held_out.select(vector_to_array("features"), "label").mapInArrow(_descent(nodes), "label double, prediction double")
+            found[i] = evaluator.evaluate(answers)
+        return found
+
     scores = dict.fromkeys(range(len(family.grid)), 0.0)
-    # Each running fit keeps its own binned rows, so only the settings of one fold run together.
+    # Each running fit keeps its own binned rows: no more at once than there are settings.
     with ThreadPool(min(parallelism, len(family.grid))) as pool:
-        for fold in range(folds):
-            fitted, held_out = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-
-            def scored(i: int) -> float:
-                return evaluator.evaluate(estimator.fit(fitted, family.grid[i]).transform(held_out))
-
-            for i, r2 in enumerate(pool.map(inheritable_thread_target(folded.sparkSession)(scored), range(len(family.grid)))):
+        for part in pool.map(inheritable_thread_target(folded.sparkSession)(scored), fits, chunksize=1):
+            for i, r2 in part.items():
                 scores[i] += r2 / folds
     named = [(settings_of(setting), scores[i]) for i, setting in enumerate(family.grid)]
     # The first setting wins a tie, as in the search itself.
@@ -133,6 +146,81 @@ def _plain_search(folded: DataFrame, family: Family, folds: int, parallelism: in
     return Search(family.name, estimator.fit(folded, family.grid[chosen]), *named[chosen], named)
 
 
+def depth_of(estimator, setting: dict) -> int:
+    return setting.get(estimator.maxDepth, estimator.getMaxDepth())
+
+
+def shared_depths(estimator, grid: Sequence[dict]) -> list[tuple[int, list[int]]]:
+    """The settings to fit, by their place in the grid, each with the settings of smaller depth that its trees answer too.
+
+    A forest that may use every feature at every node splits a node by its rows alone, so trees of less depth are the
+    upper part of deeper ones. If features are drawn, or the upper part has too many nodes, a setting is fitted itself.
+    """
+    groups: dict[object, list[int]] = {}
+    alone = []
+    for i, setting in enumerate(grid):
+        if isinstance(estimator, RandomForestRegressor) and setting.get(
+                estimator.featureSubsetStrategy, estimator.getFeatureSubsetStrategy()) == "all":
+            rest = settings_of({param: value for param, value in setting.items() if param != estimator.maxDepth})
+            groups.setdefault(rest, []).append(i)
+        else:
+            alone.append((i, []))
+    for members in groups.values():
+        deepest = max(members, key=lambda i: depth_of(estimator, grid[i]))
+        trees = grid[deepest].get(estimator.numTrees, estimator.getNumTrees())
+        rest = [i for i in members if i != deepest]
+        small = [i for i in rest if trees * 2 ** (depth_of(estimator, grid[i]) + 1) <= MAX_NODES]
+        alone += [(deepest, small)] + [(i, []) for i in rest if i not in small]
+    return sorted(alone)
+
+
+def upper_nodes(model, depth: int) -> list[np.ndarray] | None:
+    """For each tree its nodes down to a depth, with their feature, threshold, left and right node, and mean.
+
+    A node that ends there has itself on both sides. None, if a split is by categories.
+    """
+    trees = []
+    for tree in model.trees:
+        root = tree._call_java("rootNode")
+        rows, level = [[0, 0.0, 0, 0, root.prediction()]], [(0, root)]
+        for _ in range(depth):
+            below = []
+            for at, node in level:
+                if node.getClass().getSimpleName() != "InternalNode":
+                    continue
+                split = node.split()
+                if split.getClass().getSimpleName() != "ContinuousSplit":
+                    return None
+                rows[at][:4] = split.featureIndex(), split.threshold(), len(rows), len(rows) + 1
+                for child in (node.leftChild(), node.rightChild()):
+                    below.append((len(rows), child))
+                    rows.append([0, 0.0, len(rows), len(rows), child.prediction()])
+            level = below
+        trees.append(np.array(rows))
+    return trees
+
+
+def _descent(trees: list[np.ndarray]):
+    """Label and mean answer of the trees for each row of features and label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            total, each = np.zeros(batch.num_rows), np.arange(batch.num_rows)
+            for tree in trees:
+                feature, left, right = (tree[:, k].astype(np.int64) for k in (0, 2, 3))
+                at = np.zeros(batch.num_rows, np.int64)
+                while True:
+                    there = np.where(cells[each, feature[at]] <= tree[at, 1], left[at], right[at])
+                    if (there == at).all():
+                        break
+                    at = there
+                total += tree[at, 4]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(total / len(trees))], names=["label", "prediction"])
+    return run
+
+
 def longest_rounds(estimator: GBTRegressor, grid: Sequence[dict]) -> list[tuple[dict, list[int]]]:
     """Settings without their rounds, each with the numbers of rounds that the grid asks for."""
     groups: dict[str, tuple[dict, list[int]]] = {}

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from plumbline.operators import training
@@ -44,6 +45,21 @@ def test_scores_are_those_of_a_fit_in_each_fold(rows):
     assert search.model.getNumTrees == 3
 
 
+def test_depths_are_scored_from_one_fit(rows, monkeypatch):
+    fits, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, df, params=None: fits.append(1) or fit(self, df, params))
+    search = training.grid_search(rows, training.families({"random_forest": {"numTrees": [3, 2], "maxDepth": [2, 1, 4]}})[0], "id", folds=3)
+    assert len(fits) == 2 * 3 + 1  # two numbers of trees in three folds, and the best on all rows
+    assert [name for name, _ in search.scores] == [f"maxDepth={d}, numTrees={n}" for n in (3, 2) for d in (2, 1, 4)]
+
+
+def test_large_upper_parts_and_drawn_features_are_fitted_themselves():
+    family = training.families({"random_forest": {"numTrees": [100], "maxDepth": [20, 5, 30]}})[0]
+    assert training.shared_depths(family.estimator, family.grid) == [(0, []), (2, [1])]
+    drawn = family.estimator.copy().setFeatureSubsetStrategy("sqrt")
+    assert training.shared_depths(drawn, family.grid) == [(0, []), (1, []), (2, [])]
+
+
 def test_a_fold_without_rows_is_an_error(rows):
     few = rows.filter("id < 2")
     with pytest.raises(ValueError, match="fold"):
